@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid
+from tidemark.llm import langid, mixing
 from tidemark.llm.common import fold
 
 
@@ -24,9 +24,14 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    return mixing.mix(_read(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id}
+    return {"op1_language_id": op1_language_id, "op8_mixing": op8_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_mixing": mixing.SQL.format(docs="documents")}
