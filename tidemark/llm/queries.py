@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import langid, mixing
+from tidemark.llm import langid, mixing, wavelet
 from tidemark.llm.common import fold
 
 
@@ -29,8 +29,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def token_params() -> wavelet.TokenParams:
+    import public_tokenizers
+
+    return wavelet.TokenParams(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written as wavelet matrices and read back."""
+    return wavelet.read_shards(wavelet.write_shards(_read(spark, sf_dir, "documents"), token_params()))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op8_mixing": op8_mixing}
+    return {"op1_language_id": op1_language_id, "op8_mixing": op8_mixing, "op10_token_ids": op10_token_ids}
 
 
 def oracle_sql() -> dict[str, str]:
