@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, mixing, wavelet
+from tidemark.llm import decontam, langid, mixing, robust_quality, wavelet
 from tidemark.llm.common import fold
 
 
@@ -29,6 +29,11 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_read(spark, sf_dir, "documents"))
 
 
+def op2_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and whether it is an outlier of its language and source."""
+    return robust_quality.judge(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that windows of benchmark items cover."""
     return decontam.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -46,8 +51,8 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op6_decontamination": op6_decontamination, "op8_mixing": op8_mixing, "op10_token_ids": op10_token_ids}
+    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op6_decontamination": op6_decontamination, "op8_mixing": op8_mixing, "op10_token_ids": op10_token_ids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_decontamination": decontam.SQL, "op8_mixing": mixing.SQL.format(docs="documents")}
+    return {"op2_robust_quality": robust_quality.sql(), "op6_decontamination": decontam.SQL, "op8_mixing": mixing.SQL.format(docs="documents")}
