@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, mixing, robust_quality, wavelet
+from tidemark.llm import bagminhash, decontam, langid, mixing, robust_quality, wavelet
 from tidemark.llm.common import fold
 
 
@@ -39,6 +39,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document under weighted Jaccard similarity of five-word shingles."""
+    return bagminhash.classes(_read(spark, sf_dir, "documents")).drop("_key")
+
+
 def token_params() -> wavelet.TokenParams:
     import public_tokenizers
 
@@ -51,7 +56,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op6_decontamination": op6_decontamination, "op8_mixing": op8_mixing, "op10_token_ids": op10_token_ids}
+    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op6_decontamination": op6_decontamination, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
 
 
 def oracle_sql() -> dict[str, str]:
