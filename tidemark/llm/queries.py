@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bagminhash, decontam, langid, mixing, robust_quality, wavelet
+from tidemark.llm import bagminhash, decontam, langid, mixing, robust_quality, suffixtree_lm, wavelet
 from tidemark.llm.common import fold
 
 
@@ -24,6 +24,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and suffix-tree score of every document; learns where crc32(doc_id) mod 5 is not 1."""
+    held_out = fold(F.col("doc_id"), 5) == 1
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return suffixtree_lm.score(docs, ~F.col("held_out"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document."""
     return mixing.mix(_read(spark, sf_dir, "documents"))
@@ -56,7 +63,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op6_decontamination": op6_decontamination, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
+    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op6_decontamination": op6_decontamination, "op7_lm_scoring": op7_lm_scoring, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
 
 
 def oracle_sql() -> dict[str, str]:
