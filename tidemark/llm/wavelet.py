@@ -208,17 +208,43 @@ def unpack(data: bytes | memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return doc_ids, known, sizes, WaveletMatrix.from_bytes(n, bits, letters, view[at + 17 * docs :])
 
 
+def _byte_letters() -> list[str]:
+    """Letter that stands for each byte in byte-level vocabularies: itself where it prints, else the next free one from 256."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    spare = iter(range(256, 512))
+    return [chr(b if b in shown else next(spare)) for b in range(256)]
+
+
+def _byte_kinds() -> np.ndarray:
+    """1: letters (ASCII, and the bytes of U+00C0 to U+00FF), 2: digits, 3: other ASCII signs, 0: white space, 4: anything else."""
+    kind = np.full(256, 4, np.uint8)
+    kind[33:127] = 3
+    kind[48:58] = 2
+    kind[65:91] = kind[97:123] = kind[128:192] = kind[0xC3] = 1
+    kind[39] = 4  # an apostrophe may join the letters after it
+    kind[[9, 10, 11, 12, 13, 32]] = 0
+    return kind
+
+
 class Encoder:
-    """Tokenizer with a memory of words.
+    """Tokenizer with a memory of words and their parts.
 
     The tokenizer drops white space and never joins across it, so the ids of a
-    text are those of its words in turn; a worker encodes each word once.
+    text are those of its words in turn. A word of plain signs (ASCII but for
+    apostrophes and control characters, and Latin letters up to U+00FF) is cut
+    where the tokenizer cuts it too: into runs of letters, single digits and
+    runs of other signs, each lower-cased and handed to the tokenizer's model.
+    Any other word goes through the whole tokenizer. A worker remembers the ids
+    of each part by a 64-bit hash.
     """
 
     def __init__(self, path: str, limit: int):
         from tokenizers import Tokenizer
 
         self.tok, self.limit = Tokenizer.from_file(path), limit
+        self.model = self.tok.model
+        self.kinds, self.lower = _byte_kinds(), bw.lower_table()
+        self.letters = dict(enumerate(_byte_letters()))
         self.clear()
 
     def clear(self) -> None:
@@ -227,30 +253,63 @@ class Encoder:
         self.size = np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(8192, np.uint32), 0
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        for k in range(0, len(words), 4096):
-            for h, e in zip(hashes[k : k + 4096], self.tok.encode_batch_fast(words[k : k + 4096], add_special_tokens=False), strict=True):
-                ids, at = e.ids, len(self.index)
-                if at == len(self.start):
-                    self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-                while self.used + len(ids) > len(self.pool):
-                    self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-                self.pool[self.used : self.used + len(ids)] = ids
-                self.start[at], self.size[at] = self.used, len(ids)
-                self.used += len(ids)
-                self.index[h] = at
+    def _keep(self, h: int, ids: list[int]) -> None:
+        at = len(self.index)
+        if at == len(self.start):
+            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.start[at], self.size[at] = self.used, len(ids)
+        self.used += len(ids)
+        self.index[h] = at
+
+    def _parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Bytes in lower case, starts and ends of parts, whether each is a word as it stands, and the parts before each text."""
+        kind = self.kinds[data]
+        starts, ends, _ = bw.spans(kind > 0, offsets)
+        odd = kind == 4
+        lead = np.flatnonzero(data == 0xC3)
+        follow = data[np.minimum(lead + 1, len(data) - 1)]
+        odd[lead[(follow == 0x97) | (follow == 0xB7)]] = True  # the two signs among these letters
+        special = np.flatnonzero(data == 60)
+        odd[special[data[np.minimum(special + 1, len(data) - 1)] == 124]] = True  # "<|" may begin a special token
+        low = self.lower[data]
+        low[lead[(follow >= 0x80) & (follow <= 0x9E)] + 1] += 0x20
+        whole = np.zeros(len(starts), bool)
+        whole[np.searchsorted(starts, np.flatnonzero(odd), "right") - 1] = True
+        inside = np.zeros(len(data) + 1, np.int8)
+        inside[starts[whole]] = 1
+        inside[ends[whole]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).view(bool)
+        low = np.where(inside, data, low)
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+        cut[:-1] &= ~inside & (kind > 0)
+        cut[starts] = True
+        a = np.flatnonzero(cut)
+        stop = np.append(a[1:], len(data))
+        of = np.searchsorted(starts, a, "right") - 1
+        return low, a, np.minimum(stop, ends[of]), whole[of], np.searchsorted(a, offsets)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and their number in each."""
         if len(self.index) > self.limit:
             self.clear()
-        starts, ends, before = bw.spans(bw.byte_class("space")[data], offsets)
-        found, first, which = np.unique(bw.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        low, starts, ends, whole, before = self._parts(data, offsets)
+        hashes = bw.word_hashes(low, starts, ends) ^ np.where(whole, np.uint64(0x9E6C63D0876A9A47), np.uint64(0))
+        found, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         at = np.fromiter((self.index.get(h, -1) for h in found.tolist()), np.int64, len(found))
         new = np.flatnonzero(at < 0)
         if len(new):
-            raw = data.tobytes()
-            self._learn(found[new].tolist(), [raw[a:b].decode("utf-8", "replace") for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)])
+            raw, spot = low.tobytes(), first[new]
+            tokenize, letters = self.model.tokenize, self.letters
+            for h, a, b, w in zip(found[new].tolist(), starts[spot].tolist(), ends[spot].tolist(), whole[spot].tolist(), strict=True):
+                if w:
+                    ids = self.tok.encode(raw[a:b].decode("utf-8", "replace"), add_special_tokens=False).ids
+                else:
+                    ids = [t.id for t in tokenize(raw[a:b].decode("latin-1").translate(letters))]
+                self._keep(h, ids)
             at[new] = [self.index[h] for h in found[new].tolist()]
         size = self.size[at][which]
         total = np.zeros(len(size) + 1, np.int64)
