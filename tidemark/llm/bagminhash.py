@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -186,17 +187,64 @@ def overlap(a: pa.Array, b: pa.Array, size: int) -> np.ndarray:
 
 
 def verified(pairs: DataFrame, texts: DataFrame, params: NearDupParams) -> DataFrame:
-    """Pairs (a, b) of keys whose texts are similar enough."""
+    """Pairs (a, b) of keys whose texts are similar enough, with the similarity ``sim``."""
     bound_batches(pairs.sparkSession)
     left = pairs.join(texts.select(F.col("_key").alias("a"), F.col("text").alias("_ta")), "a")
     both = left.join(texts.select(F.col("_key").alias("b"), F.col("text").alias("_tb")), "b").select("a", "b", "_ta", "_tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ok = overlap(batch.column(2), batch.column(3), params.shingle) >= params.similarity
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(ok)) for i in (0, 1)], names=["a", "b"])
+            sim = pa.array(overlap(batch.column(2), batch.column(3), params.shingle))
+            ok = pc.greater_equal(sim, params.similarity)
+            yield pa.RecordBatch.from_arrays([x.filter(ok) for x in (batch.column(0), batch.column(1), sim)], names=["a", "b", "sim"])
 
-    return both.mapInArrow(run, "a binary, b binary")
+    return both.mapInArrow(run, "a binary, b binary, sim double")
+
+
+def elements(texts: DataFrame, params: NearDupParams) -> DataFrame:
+    """(_key, e): each occurrence of each shingle, the second one apart from the first and so on."""
+    bound_batches(texts.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            raw, offsets = bw.buffers(batch.column(1))
+            for at, _, data, to in bw.chunks(raw, offsets):
+                s, doc = shingles(*hashed_words(data, to), params.shingle)
+                order = np.lexsort((s, doc))
+                s, doc = s[order], doc[order]
+                new = np.flatnonzero(np.append(True, (s[1:] != s[:-1]) | (doc[1:] != doc[:-1]))) if len(s) else np.zeros(0, np.int64)
+                nth = np.arange(len(s)) - np.repeat(new, np.diff(np.append(new, len(s))))
+                e = bw.mix(s + nth.astype(U) * U(0x9E3779B97F4A7C15)).view(np.int64)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc + at)), pa.array(e)], names=["_key", "e"])
+
+    return texts.select("_key", "text").mapInArrow(run, "_key binary, e long")
+
+
+def possible(members: DataFrame, texts: DataFrame, params: NearDupParams) -> DataFrame:
+    """Pairs (a, b) of ``members`` (_key, c, odd) that may still be links between components.
+
+    One side is ``odd``. A link needs a common element among the rarest
+    n - ceil(t n) + 1 of each text's n, at places that leave room for the
+    overlap that the similarity t asks for; so nothing is lost, and texts whose
+    rarest shingles are their own meet nobody.
+    """
+    t = params.similarity
+    each = elements(texts.join(members.select("_key"), "_key", "left_semi"), params)
+    each = table(each, "elements")
+    rare = each.groupBy("e").agg(F.count("*").alias("df")).where("df > 1")
+    # an element of one text is rarer than all others and meets nobody: only the number of these matters
+    sizes = each.groupBy("_key").agg(F.count("*").alias("size"))
+    met = each.join(rare, "e").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("_e"))
+    prefix = members.join(met, "_key").join(sizes, "_key")
+    own = F.col("size") - F.size("_e")
+    length = F.col("size") - F.ceil(F.col("size") * t - 1e-9) + 1 - own
+    prefix = prefix.select("_key", "c", "odd", "size", own.alias("own"), F.posexplode(F.slice("_e", F.lit(1), F.greatest(length, F.lit(0)).cast("int"))).alias("at", "x"))
+    prefix = table(prefix.select("_key", "c", "odd", "size", (F.col("own") + F.col("at")).alias("at"), F.col("x.e").alias("e")), "prefixes")
+    x, y = prefix.where("odd").alias("x"), prefix.alias("y")
+    room = 1 + F.least(F.col("x.size") - F.col("x.at") - 1, F.col("y.size") - F.col("y.at") - 1)
+    apart = (F.col("x.c") != F.col("y.c")) & (~F.col("y.odd") | (F.col("x._key") < F.col("y._key")))
+    pairs = x.join(y, (F.col("x.e") == F.col("y.e")) & apart & (room >= (F.col("x.size") + F.col("y.size")) * (t / (1 + t)) - 1e-9))
+    return pairs.select(F.least("x._key", "y._key").alias("a"), F.greatest("x._key", "y._key").alias("b")).distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -219,16 +267,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.select("v", "c")
 
 
+def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
+    """band, _key, its component c and the largest one of the band, of bands that hold several."""
+    placed = members.join(label.withColumnRenamed("v", "_key"), "_key", "left").select("band", "_key", F.coalesce("c", "_key").alias("c"))
+    per = placed.groupBy("band", "c").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "c"))["c"].alias("main"), F.count("*").alias("parts"))
+    return placed.join(per.where("parts > 1").select("band", "main"), "band")
+
+
 def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
     """doc_id, class_id and class_size of each row, and ``_key``.
 
     Texts of equal words are one node, whatever their number. In each band the
-    nodes are first linked to the least of them only; then, in bands where that
-    left several components, nodes outside the largest are compared with all
-    nodes of other components. So no link between candidates is missed, while a
-    band of alike texts costs one comparison a text. A class is named by its
-    least doc_id (null if it has none); texts without words, null included, are
-    classes by themselves. Repeated rows are copies of each other.
+    nodes are first linked to the least of them only. Where that leaves several
+    components in a band, nodes outside its largest are compared with the node
+    of the largest that is nearest to its links, and then with all nodes that
+    :func:`possible` can't rule out. So no link between candidates is missed,
+    while a band of alike texts costs few comparisons a text. A class is named
+    by its least doc_id (null if it has none); texts without words, null
+    included, are classes by themselves. Repeated rows are copies of each other.
     """
     signed = map_append(docs.select("doc_id", "text"), lambda batch: _sign(batch.column(1), params), [T.StructField("_key", T.BinaryType()), T.StructField("_bands", T.ArrayType(T.LongType()))], ("text",))
     signed = table(signed, "signed")
@@ -242,17 +298,20 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
     links = table(verified(stars, texts, params), "links")
     label = components(links)
 
-    placed = members.join(label.withColumnRenamed("v", "_key"), "_key", "left").select("band", "_key", F.coalesce("c", "_key").alias("c"))
-    placed = table(placed, "placed")
-    most = placed.groupBy("band", "c").agg(F.count("*").alias("n")).groupBy("band").agg(F.max(F.struct("n", "c")).alias("_top"), F.count("*").alias("parts")).where("parts > 1")
-    mixed = placed.join(most.select("band", F.col("_top.c").alias("main")), "band")
-    odd = mixed.where(F.col("c") != F.col("main")).select("band", F.col("_key").alias("x"), F.col("c").alias("cx"), "main")
-    other = mixed.select("band", F.col("_key").alias("y"), F.col("c").alias("cy"))
-    rest = odd.join(other, "band").where((F.col("cx") != F.col("cy")) & ((F.col("cy") == F.col("main")) | (F.col("x") < F.col("y"))))
-    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = table(verified(rest, texts, params), "links")
+    mixed = table(_mixed(members, label), "mixed")
+    close = links.select(F.col("a").alias("_key"), "sim").union(links.select("b", "sim")).groupBy("_key").agg(F.max("sim").alias("sim"))
+    hubs = mixed.where(F.col("c") == F.col("main")).join(close, "_key").groupBy("band").agg(F.max(F.struct("sim", "_key"))["_key"].alias("hub"))
+    near = mixed.where(F.col("c") != F.col("main")).join(hubs, "band").select(F.least("_key", "hub").alias("a"), F.greatest("_key", "hub").alias("b")).distinct()
+    more = table(verified(near.join(stars, ["a", "b"], "left_anti"), texts, params), "links")
     if more.limit(1).count():
-        label = components(links.union(more))
+        links = links.union(more)
+        label = components(links)
+
+    odd = F.max(F.col("c") != F.col("main")).alias("odd")
+    left = table(_mixed(members, label).groupBy("_key", "c").agg(odd), "left")
+    last = table(verified(possible(left, texts, params), texts, params), "links")
+    if last.limit(1).count():
+        label = components(links.union(last))
 
     plain = signed.select("doc_id", "_key").join(label.select(F.col("v").alias("_key"), "c"), "_key", "left").withColumn("_c", F.coalesce("c", "_key"))
     plain = table(plain.select("doc_id", "_key", "_c"), "members")
