@@ -32,14 +32,16 @@ class TreeParams:
     """depth: longest context; min_share: least share of all symbols that a
     context precedes, so there are at most 1 / min_share contexts of each
     length; divergence: least log-likelihood gain, in units of the logarithm
-    of the training size; head_share: words of at least this share of all
+    of the training size; max_states: the contexts of greatest gain that the
+    tree has room for; head_share: words of at least this share of all
     training tokens, at most 1 / head_share of them, are sent to all workers;
     counts of the others are joined.
     """
 
-    depth: int = 4
-    min_share: float = 1 / 20_000
-    divergence: float = 3.0
+    depth: int = 5
+    min_share: float = 1 / 200_000
+    divergence: float = 1.0
+    max_states: int = 100_000
     head_share: float = 1e-6
 
 
@@ -137,7 +139,7 @@ class SuffixTree:
         root /= total + 128.0
         known: dict[int, dict[int, np.ndarray]] = {0: {0: root}}
         gain = params.divergence * np.log(max(total, 2))
-        keep: list[set[int]] = [{0}] + [set() for _ in range(params.depth)]
+        gains: list[tuple[float, int, int]] = []
         for d in range(1, params.depth + 1):
             codes, n = levels[d]
             known[d] = {}
@@ -153,8 +155,12 @@ class SuffixTree:
                 p = parent * (weight / (size + weight))
                 p[to] += c / (size + weight)
                 known[d][s] = p
-                if (c * np.log(c / size / parent[to])).sum() >= gain:
-                    keep[d].add(s)
+                won = float((c * np.log(c / size / parent[to])).sum())
+                if won >= gain:
+                    gains.append((-won, d, s))
+        keep: list[set[int]] = [{0}] + [set() for _ in range(params.depth)]
+        for _, d, s in sorted(gains)[: params.max_states]:
+            keep[d].add(s)
         for d in range(params.depth, 1, -1):
             keep[d - 1] |= {s & ((1 << 8 * (d - 1)) - 1) for s in keep[d]}
         node = {(d, s): i for i, (d, s) in enumerate((d, s) for d in range(params.depth + 1) for s in sorted(keep[d]))}
