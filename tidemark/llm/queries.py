@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bagminhash, decontam, langid, mixing, robust_quality, suffixtree_lm, wavelet
+from tidemark.llm import bagminhash, decontam, langid, mixing, robust_quality, sharding, suffixtree_lm, wavelet
 from tidemark.llm.common import fold
 
 
@@ -41,6 +41,11 @@ def op2_robust_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return robust_quality.judge(_read(spark, sf_dir, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.assign(_read(spark, sf_dir, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that windows of benchmark items cover."""
     return decontam.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -63,7 +68,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op6_decontamination": op6_decontamination, "op7_lm_scoring": op7_lm_scoring, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
+    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op3_sharding": op3_sharding, "op6_decontamination": op6_decontamination, "op7_lm_scoring": op7_lm_scoring, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
 
 
 def oracle_sql() -> dict[str, str]:
