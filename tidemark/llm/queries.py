@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bagminhash, decontam, langid, mixing, robust_quality, sharding, suffixtree_lm, wavelet
+from tidemark.llm import bagminhash, decontam, langid, licences, mixing, robust_quality, sharding, suffixtree_lm, urlfilter, wavelet
 from tidemark.llm.common import fold
 
 
@@ -46,6 +46,16 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(_read(spark, sf_dir, "documents"))
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence that every document is, and the notices among its lines."""
+    return licences.scan(_read(spark, sf_dir, "documents"))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL."""
+    return urlfilter.judge(_read(spark, sf_dir, "pages"), urlfilter.train(urlfilter.labelled(spark)))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that windows of benchmark items cover."""
     return decontam.decontaminate(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
@@ -68,8 +78,8 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op3_sharding": op3_sharding, "op6_decontamination": op6_decontamination, "op7_lm_scoring": op7_lm_scoring, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
+    return {"op1_language_id": op1_language_id, "op2_robust_quality": op2_robust_quality, "op3_sharding": op3_sharding, "op4_license_scan": op4_license_scan, "op5_url_filter": op5_url_filter, "op6_decontamination": op6_decontamination, "op7_lm_scoring": op7_lm_scoring, "op8_mixing": op8_mixing, "op9_near_duplicates": op9_near_duplicates, "op10_token_ids": op10_token_ids}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_robust_quality": robust_quality.sql(), "op6_decontamination": decontam.SQL, "op8_mixing": mixing.SQL.format(docs="documents")}
+    return {"op2_robust_quality": robust_quality.sql(), "op4_license_scan": licences.sql(), "op6_decontamination": decontam.SQL, "op8_mixing": mixing.SQL.format(docs="documents")}
