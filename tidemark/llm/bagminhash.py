@@ -275,7 +275,7 @@ def _mixed(members: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
-    """doc_id, class_id and class_size of each row, and ``_key``.
+    """doc_id, class_id and class_size of each row, with ``_key`` and the class's own key ``_class``.
 
     Texts of equal words are one node, whatever their number. In each band the
     nodes are first linked to the least of them only. Where that leaves several
@@ -318,4 +318,18 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
     named = plain.where(F.col("_c").isNotNull()).groupBy("_c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
     out = plain.join(named, "_c", "left")
     alone = F.col("_c").isNull()
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), "_key")
+    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), "_key", F.col("_c").alias("_class"))
+
+
+def deduplicated(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:
+    """Rows of ``docs`` without near-duplicates: of each class the row of least doc_id, null last.
+
+    Texts without words stay, each of them; of rows equal in id and words one stays.
+    """
+    found = table(classes(docs, params), "classes").where(F.col("_class").isNotNull())
+    first = found.groupBy("_class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("_id"), "_key")).alias("r"))
+    first = first.select("r.*", F.lit(True).alias("_stays"))
+    keyed = with_key(docs).withColumn("_none", F.col("doc_id").isNull()).withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(0)))
+    kept = keyed.join(first, ["_none", "_id", "_key"], "left").where(F.col("_key").isNull() | F.col("_stays"))
+    apart = F.when(F.col("_key").isNull(), F.monotonically_increasing_id())
+    return kept.withColumn("_apart", apart).dropDuplicates(["_none", "_id", "_key", "_apart"]).select(*docs.columns)

@@ -63,7 +63,7 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of every document under weighted Jaccard similarity of five-word shingles."""
-    return bagminhash.classes(_read(spark, sf_dir, "documents")).drop("_key")
+    return bagminhash.classes(_read(spark, sf_dir, "documents")).drop("_key", "_class")
 
 
 def token_params() -> wavelet.TokenParams:
