@@ -148,7 +148,7 @@ def lines(c: Column) -> Column:
 
 def tags(c: Column) -> Column:
     """Items of a comma-separated list in which items may be quoted, trimmed and not blank."""
-    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r'\s*("(?:[^"]|"")*"|[^,]*)(?:,|$)'), F.lit(1))
+    found = F.regexp_extract_all(F.coalesce(c, F.lit("")), F.lit(r'\s*("(?:[^"]|"")*"\s*|[^,]*)(?:,|$)'), F.lit(1))
     plain = F.transform(found, lambda x: trimmed(F.replace(F.when(x.rlike(r'^".*"\s*$'), F.regexp_replace(x, r'^"|"\s*$', "")).otherwise(x), F.lit('""'), F.lit('"'))))
     return F.filter(plain, lambda x: x.isNotNull())
 

@@ -128,7 +128,7 @@ def score(rules: RuleSet, features: dict[str, Column], flags: Column | None = No
         for f in has:
             if f.startswith(p.removeprefix("missing_")):
                 lacks = lacks & ~has[f]
-        total = F.when(lacks, F.greatest(_dec(0), total - _dec(v))).otherwise(total).cast("decimal(6,4)")
+        total = F.greatest(_dec(0), total - F.when(lacks, _dec(v)).otherwise(_dec(0))).cast("decimal(6,4)")
         reasons.append(F.when(lacks, F.lit(f"penalty:{p}:{v:.4f}")))
     total = F.least(_dec(1), total).cast("decimal(5,4)")
     blocked = F.lit(False)
