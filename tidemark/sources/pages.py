@@ -115,7 +115,7 @@ def profile(html: Column) -> Column:
     def read(pages: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([read_profile(h) for h in pages], columns=COLUMNS)
 
-    return F.pandas_udf(read, PROFILE, F.PandasUDFType.SCALAR)(html)
+    return F.pandas_udf(read, PROFILE)(html)
 
 
 def _unfolded(card: Column) -> Column:
