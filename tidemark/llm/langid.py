@@ -117,7 +117,9 @@ class LanguageModel:
                 for c, to in d.items():
                     t[i, c] = to
             root = np.where(t[0] < 0, 0, t[0])
+            # nothing stays in the start, so its row can stand for "no phrase is open": any symbol opens one
             missing = t < 0
+            missing[0] = True
             t = (np.where(missing, root, t) * self.width + base) * 2 + missing
             tables.append(t.astype(np.int32).ravel())
             roots.append(base)
@@ -148,7 +150,7 @@ class LanguageModel:
         start, length, doc = start[order], length[order], doc[order]
         active = len(length) - np.searchsorted(length[::-1], np.arange(1, block + 1), "left")
         state = np.repeat(self.roots[:, None], len(start), 1)
-        count = np.ones(state.shape, np.int32)
+        count = np.zeros(state.shape, np.int32)
         for j in range(int(length[0]) if len(length) else 0):
             k = active[j]
             got = self.table[state[:, :k] + sym[start[:k] + j]]
