@@ -61,6 +61,7 @@ def propagate(state: DataFrame, quota: list[int], params: ShardParams) -> DataFr
     for _ in range(params.rounds):
         load = _loads(state, shards)
         room = [max(0, q - n) for q, n in zip(quota, load, strict=True)]
+        # a class spread over full shards has no aim and stays
         best = F.max(F.when(_lookup(room, F.col("shard")) > 0, F.struct("n", F.xxhash64("digest", "shard").alias("h"), "shard")))
         aims = state.groupBy("digest").agg(best.alias("_t"), F.sum("n").alias("size")).where(F.col("_t").isNotNull())
         aims = aims.select("digest", F.col("_t.shard").alias("aim"), (F.col("size") - F.col("_t.n")).alias("want"), "size").where("want > 0")
@@ -88,6 +89,32 @@ def propagate(state: DataFrame, quota: list[int], params: ShardParams) -> DataFr
     return state
 
 
+def _spread(state: DataFrame, quota: list[int]) -> DataFrame:
+    """Classes larger than a shard, of which there are fewer than shards, get whole shards and one for the rest.
+
+    Each takes the free shards that hold most of it, so it is split over as few as can be.
+    """
+    large = state.groupBy("digest").agg(F.sum("n").alias("size")).where(F.col("size") > max(quota))
+    rows = state.join(F.broadcast(large), "digest").select("digest", "shard", "n", "size").collect()
+    if not rows:
+        return state
+    have: dict[str, dict[int, int]] = {}
+    for r in rows:
+        have.setdefault(r.digest, {})[r.shard] = r.n
+    sizes = {r.digest: r.size for r in rows}
+    room, placed = list(quota), []
+    for digest in sorted(have, key=lambda d: (-sizes[d], d)):
+        left = sizes[digest]
+        for s in sorted(range(len(quota)), key=lambda s: (-(room[s] == quota[s]), -have[digest].get(s, 0), s)):
+            take = min(left, room[s])
+            if take > 0:
+                placed.append((digest, s, take))
+                room[s], left = room[s] - take, left - take
+    fresh = state.sparkSession.createDataFrame(placed, "digest string, shard long, n long")
+    rest = state.join(F.broadcast(large), "digest", "left_anti").select("digest", F.col("shard").cast("long").alias("shard"), "n")
+    return table(rest.unionByName(fresh), "shard-state")
+
+
 def _relieved(state: DataFrame, quota: list[int], load: list[int], total: int, params: ShardParams) -> DataFrame:
     """What is beyond a shard's quota goes where there is room; only happens where nearly all documents are linked."""
     rows = state.withColumn("_b", F.pmod(F.xxhash64("digest", F.lit(9)), F.lit(max(1, total // params.bucket_rows))))
@@ -126,7 +153,7 @@ def assign(docs: DataFrame, params: ShardParams = ShardParams(), keep: tuple[str
     start = F.pmod(F.xxhash64("_row", F.lit(1)), F.lit(shards))
     per = rows.where(F.col("digest").isNotNull()).groupBy("digest", start.alias("shard")).agg(F.count("*").alias("n"))
     sizes = per.groupBy("digest").agg(F.sum("n").alias("size"), F.sum(F.lit(1)).alias("_k")).where("size > 1").select("digest")
-    state = propagate(table(per.join(sizes, "digest", "left_semi"), "shard-state"), quota, params)
+    state = propagate(_spread(table(per.join(sizes, "digest", "left_semi"), "shard-state"), quota), quota, params)
     load = _loads(state, shards)
     if any(k > q for k, q in zip(load, quota, strict=True)):
         state = table(_relieved(state, quota, load, n, params), "shard-state")
