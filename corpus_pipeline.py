@@ -57,7 +57,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     marked = _text_mark(docs)
     taken = mixing.mix(marked.select("doc_id", "source", "text", "_mark"), keep=("doc_id", "source", "_mark"))
     share = taken.groupBy("doc_id", "_mark").agg(F.sum("taken").alias("_t"), F.sum("size").alias("_s"))
-    copies = share.select("doc_id", "_mark", F.expr("(2 * _t + _s) div (2 * _s)").cast("int").alias("_copies")).where("_copies > 0")
+    copies = share.select("doc_id", "_mark", F.expr("(2 * _t + _s) div greatest(2 * _s, 1)").cast("int").alias("_copies")).where("_copies > 0")
     joined = marked.alias("d").join(copies.alias("c"), _same("d", "c")).select(*[F.col(f"d.{c}") for c in docs.columns], "_copies")
     return joined.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
 

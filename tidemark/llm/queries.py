@@ -28,7 +28,7 @@ def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram and suffix-tree score of every document; learns where crc32(doc_id) mod 5 is not 1."""
     held_out = fold(F.col("doc_id"), 5) == 1
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
-    return suffixtree_lm.score(docs, ~F.col("held_out"))
+    return suffixtree_lm.score(docs, ~F.col("held_out"), keep=("doc_id", "held_out"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

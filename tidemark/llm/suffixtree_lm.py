@@ -146,7 +146,7 @@ class SuffixTree:
             order = np.argsort(codes)
             codes, n = codes[order], n[order]
             contexts, first = np.unique(codes >> 8, return_index=True)
-            for s, a, b in zip(contexts.tolist(), first.tolist(), np.append(first[1:], len(codes)).tolist(), strict=True):
+            for s, a, b in zip(contexts.tolist(), first.tolist(), np.append(first, len(codes))[1:].tolist(), strict=True):
                 parent = known[d - 1].get(s & ((1 << 8 * (d - 1)) - 1))
                 if parent is None:
                     continue
@@ -209,7 +209,7 @@ def _candidates(grams: DataFrame, total: int, params: TreeParams) -> list[tuple[
     return out
 
 
-def score(docs: DataFrame, may_learn: Column, params: TreeParams = TreeParams(), keep: tuple[str, ...] = ("doc_id", "held_out")) -> DataFrame:
+def score(docs: DataFrame, may_learn: Column, params: TreeParams = TreeParams(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` of each row with n_tokens, n_known, train_tokens, base_score and score.
 
     Null and empty texts are the end mark alone; it counts as a token that
