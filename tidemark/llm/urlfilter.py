@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import ascii_lower, table
+from tidemark.llm.common import ascii_lower, let, table
 
 
 @dataclass(frozen=True)
@@ -56,17 +56,20 @@ def features(host: Column, path: Column, params: UrlParams) -> Column:
     """Buckets of the n-grams of host and path, apart from each other."""
 
     def grams(text: Column, tag: str, n: int) -> Column:
-        chars = F.split(F.concat(F.lit("^"), text, F.lit("$")), "")
-        gram = lambda i: F.pmod(F.crc32(F.concat(F.lit(tag), F.array_join(F.slice(chars, i, F.lit(n)), "")).cast("binary")), F.lit(params.buckets))
-        size = F.length(text) + 2
-        return F.when((size < n) | (text == ""), F.array().cast("array<bigint>")).otherwise(F.transform(F.sequence(F.lit(1), size - n + 1), gram))
+        def cut(chars: Column) -> Column:
+            gram = lambda i: F.pmod(F.crc32(F.concat(F.lit(tag), F.array_join(F.slice(chars, i, F.lit(n)), "")).cast("binary")), F.lit(params.buckets))
+            return F.transform(F.sequence(F.lit(1), F.size(chars) - n + 1), gram)
+
+        short = (F.length(text) + 2 < n) | (text == "")
+        marked = F.concat(F.lit("^"), text, F.lit("$"))
+        return F.when(short, F.array().cast("array<bigint>")).otherwise(let(F.split(marked, ""), cut))
 
     return F.concat(*[grams(c, tag, n) for c, tag in ((host, "h"), (path, "p")) for n in params.lengths])
 
 
 def logit(buckets: Column, weights: list[float], bias: float) -> Column:
     """Value of the model; n-grams are scaled so that long URLs weigh no more than short ones."""
-    w = F.lit(weights).cast("array<double>") if weights else F.array().cast("array<double>")
+    w = F.split(F.lit(",".join(map(repr, weights))), ",").cast("array<double>")  # folded to a constant; one literal for all
     total = F.aggregate(buckets, F.lit(0.0), lambda a, f: a + F.get(w, f.cast("int")))
     return total / F.sqrt(F.greatest(F.size(buckets), F.lit(1)).cast("double")) + F.lit(bias)
 
