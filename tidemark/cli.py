@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import gates, lifecycle, merge, scoring
 from tidemark.operators.rules import KINDS, load
 from tidemark.plans import audience, geo_ready, ingest
-from tidemark.sources import feeds
+from tidemark.sources import feeds, pages
 from tidemark.store import Store
 
 MODES: dict[str, Callable[[SparkSession, Store, argparse.Namespace], dict]] = {}
@@ -80,7 +80,11 @@ def base_copy(spark, store, args):
     counts = {}
     for feed in feeds.BASE_ORDER:
         df = feeds.scan(spark, feed, args.input[feed])
-        counts[feed] = _merged(store, f"raw_{feed}", feeds.raw(df, feed).drop("_ordinal"), ["source_system", "feed", "source_file", "row_hash"]).count()
+        _merged(store, f"raw_{feed}", feeds.raw(df, feed).drop("_ordinal"), ["source_system", "feed", "source_file", "row_hash"])
+        rows = ingest.staged_base(df, feed)
+        good, bad = gates.split(rows)
+        counts[feed] = store.stage(f"staged_{feed}", good).count()
+        counts[f"{feed}_rejected"] = store.stage(f"rejects_{feed}", bad).count()
     return counts
 
 
@@ -94,6 +98,37 @@ def race_scoring(spark, store, args):
     return counts
 
 
+@mode
+def directory_profiles(spark, store, args):
+    """Pages (member_id, html, card) that a crawl has landed, to candidates in review."""
+    rows = spark.read.parquet(args.input["pages"]).select("member_id", pages.profile(F.col("html")).alias("p"), pages.vcard(F.col("card")).alias("v"))
+    members, household = ingest.profile_candidates(pages.merged_profile(rows))
+    return {"members": store.stage("directory_members", members).count(), "household": store.stage("directory_household", household).count()}
+
+
+@mode
+def manual_apply(spark, store, args):
+    """Decisions of one kind: candidate_id, action, seq."""
+    people = store.read(f"candidate_{args.kind}")
+    done = store.stage("manual_outcomes", lifecycle.manual(people, spark.read.parquet(args.input["decisions"])))
+    new = done.where("new_state is not null").select(F.col("candidate_id").alias("id"), "new_state")
+    store.stage(f"candidate_{args.kind}", people.join(new, "id", "left").withColumn("resolution_state", F.coalesce("new_state", "resolution_state")).select(*people.columns))
+    return {r.outcome: r["count"] for r in done.groupBy("outcome").count().collect()}
+
+
+@mode
+def lifecycle_merge(spark, store, args):
+    """Merge decisions of one kind: keep_id, merge_id, seq."""
+    names = (f"canonical_{args.kind}", f"links_{args.kind}", f"candidate_{args.kind}")
+    canon, links, people = (store.read(n) for n in names)
+    decisions = spark.read.parquet(args.input["decisions"])
+    regs = store.read("canonical_registration") if store.has("canonical_registration") else spark.createDataFrame([], "canonical_primary_participant_id string, canonical_event_id string, canonical_yacht_id string")
+    out = lifecycle.merged(args.kind, canon, links, people, regs, decisions)
+    for n, part in zip(names, ("canonicals", "links", "candidates"), strict=True):
+        store.stage(n, out[part])
+    return {r.status: r["count"] for r in lifecycle.checked_merges(decisions, canon, links).groupBy("status").count().collect()}
+
+
 @mode
 def score(spark, store, args):
     out = {}
@@ -179,6 +214,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--segment", choices=("all", "upcoming", "likely"), default="all")
     p.add_argument("--lineage-threshold", type=float, default=90.0)
     p.add_argument("--max-candidates", type=int, default=500)
+    p.add_argument("--kind", choices=KINDS, default="participant")
     p.add_argument("--no-synthesize", action="store_true")
     p.add_argument("--base-url", default="https://example.org/entries")
     p.add_argument("--today", default=dt.date.today().isoformat())

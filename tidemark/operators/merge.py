@@ -77,11 +77,14 @@ def remapped(df: DataFrame, mapping: DataFrame, columns: Sequence[str], old: str
 
 def closed_map(mapping: DataFrame, rounds: int = 20) -> DataFrame:
     """Follow chains of an id map (old_id, new_id) to their ends; a cycle or a longer chain than 2^rounds is refused."""
+    held = None
     for _ in range(rounds):
         step = mapping.alias("a").join(mapping.select(F.col("old_id").alias("new_id"), F.col("new_id").alias("_next")), "new_id", "left")
         step = step.select("old_id", F.coalesce("_next", "new_id").alias("new_id"), F.col("_next").isNotNull().alias("_more")).cache()
         more = step.where("_more").limit(1).count()
-        mapping = step.drop("_more")
+        if held is not None:
+            held.unpersist()
+        held, mapping = step, step.drop("_more")
         if not more:
             return mapping
     raise ValueError("id map holds a cycle")

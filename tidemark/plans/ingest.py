@@ -139,3 +139,62 @@ def contact_rows(people: DataFrame) -> DataFrame:
     kinds = [F.struct(F.lit("email" if c == "email" else "phone").alias("contact_type"), F.col(c).alias("normalized")) for c in ("email", "phone", "home_phone", "cell_phone") if c in people.columns]
     rows = people.where(F.col("participant_id").isNotNull()).select("participant_id", F.explode(F.array(*kinds)).alias("c")).select("participant_id", "c.*")
     return rows.where(F.col("normalized").isNotNull()).dropDuplicates(["participant_id", "contact_type", "normalized"])
+
+
+def staged_base(df: DataFrame, feed: str) -> DataFrame:
+    """Rows of a base-copy file: source id, keys and parts by feed, and the first reason to reject."""
+    get = lambda n: text.trimmed(F.col(f"`{n}`")) if n in df.columns else F.lit(None).cast("string")
+    member = lambda c, k: F.get_json_object(c, f"$.{k}")  # noqa: E731  numbers and texts alike
+    if feed == "base_clubs":
+        d, needs = df.withColumns({"source_id": get("club_global_id"), "club_slug": text.slug(get("Name")), "website": get("Website"), "phone": text.phone(get("Phone")), "state_usa": get("stateUSA")}), ("source_id", "club_slug")
+    elif feed == "base_events":
+        ids, ref = get("event_global_id"), urls.race(get("entries_url"))
+        race, yr = F.coalesce(member(ids, "race_id"), ref["race_id"]), F.coalesce(dates.tag_year(get("source")), member(ids, "yr").try_cast("int"), ref["yr"])
+        d, needs = df.withColumns({"source_id": keys.race_key(race, yr), "series_slug": text.slug(dates.without_year(get("Event Name"))), "season_year": yr, "club_slug": text.slug(get("Host Club")), "source_ok": get("source").rlike(r"_\d{4}$")}), ("series_slug", "season_year")
+    elif feed == "base_yachts":
+        d, needs = df.withColumns({"source_id": get("yacht_global_id"), "yacht_slug": text.slug(get("yachtName")), "sail_slug": text.slug(get("sailNumber")), "length_feet": text.decimal(get("yachtLoa"), 6, 2), "yacht_type": get("yachtType")}), ("source_id", "yacht_slug")
+    elif feed in ("base_owners", "base_participants"):
+        own = feed == "base_owners"
+        name, mail = get("ownerName" if own else "name"), get("ownerEmail" if own else "competitorE")
+        tel = F.coalesce(text.phone(get("ownerCellPhone")), text.phone(get("ownerHomePhone"))) if own else text.phone(get("numbersOnly"))
+        place = text.joined_address(*[get(x) for x in (("ownerAddressLine1", "ownerAddressLine2", "ownerCity", "ownerState", "ownerPostal") if own else ("address", "postalCode"))])
+        d, needs = df.withColumns({"source_id": get("owner_global_id" if own else "participant_global_id"), "name_key": text.person_key(name), "email": text.email(mail), "phone": tel, "address_raw": place}), ("source_id", "name_key")
+    elif feed == "base_entries":
+        ids = get("eventUuid")
+        sku = F.coalesce(get("entriesSku"), urls.sku(get("Hist")), keys.entry_hash(*[get(x) for x in ("source", "entries_url", "Fleet", "Name", "Yacht Name", "Sail Num")]))
+        race = keys.race_key(F.coalesce(member(ids, "race_id"), urls.parameter(get("entries_url"), "race_id")), F.coalesce(member(ids, "yr").try_cast("int"), urls.race(get("entries_url"))["yr"]))
+        d, needs = df.withColumns({"source_id": get("entries_global_id"), "external_id": sku, "event_key": race, "name_key": text.person_key(get("Name")), "yacht_slug": text.slug(get("Yacht Name")), "sail_slug": text.slug(get("Sail Num"))}), ("source_id", "name_key", "yacht_slug")
+    else:
+        raise ValueError(feed)
+    return gates.with_reason(d, [(F.col(n).isNull(), f"missing_{n}") for n in needs])
+
+
+def related_contacts(waivers: DataFrame, columns: Mapping[str, str]) -> DataFrame:
+    """Guardians and emergency contacts of waivers: ``columns`` maps a name column to its kind; once per participant, kind and name."""
+    rows = F.array(*[F.struct(F.lit(kind).alias("related_type"), text.squeezed(F.col(f"`{c}`")).alias("full_name")) for c, kind in columns.items()])
+    out = waivers.where(F.col("participant_id").isNotNull()).select("participant_id", F.explode(rows).alias("r")).select("participant_id", "r.*")
+    return out.where(F.col("full_name").isNotNull()).withColumn("name_key", text.person_key(F.col("full_name"))).dropDuplicates(["participant_id", "related_type", "full_name"])
+
+
+def signed_documents(waivers: DataFrame, requirement: str) -> DataFrame:
+    """Status rows that waivers give: received on the day of submission, with the links to the signed papers."""
+    links = text.lines(F.col("`Signed Document`")) if "Signed Document" in waivers.columns else F.array().cast("array<string>")
+    live = waivers.where(F.col("participant_id").isNotNull() & F.col("submitted_on").isNotNull())
+    rows = live.select(F.lit(requirement).alias("document_requirement_id"), "participant_id", F.lit("received").alias("status"), F.col("submitted_on").alias("status_at"), links.alias("links"))
+    return latest.latest_per_key(rows, ["document_requirement_id", "participant_id"], [F.desc("status_at")])
+
+
+def profile_candidates(profiles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Candidates in review from merged member profiles (member_id and the columns of ``merged_profile``): members, and their household.
+
+    Members link to their page at 0.95, household members at 0.7.
+    """
+    mail = text.email(F.get("all_emails", F.lit(0)))
+    tel = F.get(F.transform("all_phones", lambda x: x["key"]), F.lit(0))
+    base = profiles.where(text.person_key(F.col("display_name")).isNotNull())
+    state, score = F.lit("review"), lambda v: F.lit(v).cast("decimal(5,4)")
+    members = base.select("member_id", text.squeezed(F.col("display_name")).alias("display_name"), text.person_key(F.col("display_name")).alias("normalized_name"), mail.alias("best_email"), tel.alias("best_phone"), F.lit("member").alias("role"), state.alias("resolution_state"), score(0.95).alias("link_score"))
+    others = profiles.select("member_id", F.explode("p.household").alias("h"))
+    none = F.lit(None).cast("string")
+    home = others.select("member_id", text.squeezed(F.col("h.name")).alias("display_name"), text.person_key(F.col("h.name")).alias("normalized_name"), none.alias("best_email"), none.alias("best_phone"), F.col("h.relationship").alias("role"), state.alias("resolution_state"), score(0.7).alias("link_score"))
+    return members, home.where(F.col("normalized_name").isNotNull()).dropDuplicates(["member_id", "normalized_name", "role"])
