@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import gates, lifecycle, merge, scoring
 from tidemark.operators.rules import KINDS, load
-from tidemark.plans import audience, geo_ready, ingest
+from tidemark.plans import audience, candidates, geo_ready, ingest
 from tidemark.sources import feeds, pages
 from tidemark.store import Store
 
@@ -106,6 +106,51 @@ def directory_profiles(spark, store, args):
     return {"members": store.stage("directory_members", members).count(), "household": store.stage("directory_household", household).count()}
 
 
+@mode
+def source_to_candidate(spark, store, args):
+    """Participants, clubs and yachts from staged feeds, in the order of the table below: first values win."""
+    none = F.lit(None).cast("string")
+    people = {
+        "owners": ("name_key", "ownername", "email", "coalesce(home_phone, cell_phone)", "external_id"), "waivers": ("name_key", "Name", "email", "phone", "submission_id"), "audience": ("name_key", "null", "email", "phone", "email"),
+        "base_owners": ("name_key", "ownerName", "email", "phone", "source_id"), "base_participants": ("name_key", "name", "email", "phone", "source_id"), "public_entries": ("name_key", "Name", "null", "null", "external_id"),
+    }
+    kinds = {
+        "club": (["normalized_name", "website", "state_usa", "phone"], {"owners": ("club_slug", "null", "null", "null", "external_id"), "base_clubs": ("club_slug", "website", "state_usa", "phone", "source_id")}),
+        "yacht": (["normalized_name", "normalized_sail_number", "yacht_type", "length_feet"], {"owners": ("yacht_slug", "null", "null", "cast(length_feet as string)", "external_id"), "base_yachts": ("yacht_slug", "sail_slug", "yacht_type", "cast(length_feet as string)", "source_id"), "public_entries": ("yacht_slug", "sail_slug", "null", "null", "external_id")}),
+    }
+    out: dict = {}
+
+    def staged(table: dict, fields: list[str]) -> DataFrame | None:
+        rows = None
+        for k, (feed, exprs) in enumerate(table.items()):
+            if store.has(f"staged_{feed}"):
+                part = store.read(f"staged_{feed}").selectExpr(*[f"cast({e} as string) as {f}" for e, f in zip(exprs, [*fields, "source_pk"], strict=True)])
+                part = part.where(F.col(fields[0]).isNotNull()).withColumns({"source_pk": F.concat(F.lit(f"{feed}:"), "source_pk"), "seq": F.struct(F.lit(k).alias("k"), "source_pk")})
+                rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    def keep(kind: str, new: DataFrame, links: DataFrame) -> None:
+        states = {"resolution_state": none, "is_promoted": F.lit(False), "promoted_canonical_id": none}
+        old = store.read(f"candidate_{kind}").select("id", *states) if store.has(f"candidate_{kind}") else None
+        full = new.drop("inserted").withColumns(states) if old is None else new.drop("inserted").join(old, "id", "left").withColumn("is_promoted", F.coalesce("is_promoted", F.lit(False)))
+        out[f"{kind}_candidates"] = store.stage(f"candidate_{kind}", full).count()
+        _merged(store, f"source_links_{kind}", links, ["entity_type", "candidate_id", "source_table", "source_pk"])
+
+    def before(kind: str, fields: list[str]) -> DataFrame:
+        names = ["stable_fingerprint", *fields]
+        return store.read(f"candidate_{kind}").select(*names) if store.has(f"candidate_{kind}") else spark.createDataFrame([], ", ".join(f"{n} {'date' if n == 'date_of_birth' else 'string'}" for n in names))
+
+    fields = ["normalized_name", "display_name", "best_email", "best_phone"]
+    if (rows := staged(people, fields)) is not None:
+        new, links, warned = candidates.participants(before("participant", [*fields, "date_of_birth"]), rows.withColumn("date_of_birth", F.lit(None).cast("date")), "staged")
+        keep("participant", new, links)
+        out["ambiguous_names"] = warned.count()
+    for kind, (names, table) in kinds.items():
+        if (rows := staged(table, names)) is not None:
+            keep(kind, *candidates.upserted(kind, before(kind, names), rows, names, "staged"))
+    return out
+
+
 @mode
 def manual_apply(spark, store, args):
     """Decisions of one kind: candidate_id, action, seq."""
