@@ -66,19 +66,29 @@ def spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-@lru_cache(maxsize=4)
-def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+@lru_cache(maxsize=1)
+def _salt(seed: int) -> tuple[np.ndarray, int]:
     rng = np.random.default_rng(seed)
-    salt = rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    base = int(rng.integers(1 << 40, 1 << 62)) | 1
-    inverse = pow(base, -1, 1 << 64)
+    return rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1), int(rng.integers(1 << 40, 1 << 62)) | 1
+
+
+def _run(n: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, up to the n-th."""
+    base = _salt(seed)[1]
+    out = []
+    for b in (base, pow(base, -1, 1 << 64)):
+        x = np.full(n + 1, b, np.uint64)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out[0], out[1]
 
-    def run(b: int) -> np.ndarray:
-        out = np.full(n + 1, b, np.uint64)
-        out[0] = 1
-        return np.multiply.accumulate(out)
 
-    return salt, run(base), run(inverse)
+_kept = lru_cache(maxsize=1)(_run)
+
+
+def _powers(n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One table serves all runs of texts of usual size; longer ones get a table that isn't kept."""
+    return (_salt(seed)[0], *(_kept(2 * CHUNK, seed) if n <= 2 * CHUNK else _run(n, seed)))
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -93,8 +103,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 11) -> np.ndarray:
     """64-bit hash of each span, by prefix sums of a polynomial: linear in the bytes, however long a word."""
-    size = 1 << max(16, int(len(data)).bit_length())
-    salt, power, inverse = _powers(size, seed)
+    salt, power, inverse = _powers(len(data), seed)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(salt[data] * power[: len(data)], out=total[1:])
     return mix((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * _MUL)

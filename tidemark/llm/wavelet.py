@@ -39,7 +39,7 @@ class TokenParams:
 
     tokenizer: str
     end_id: int = 1
-    shard_tokens: int = 4 << 20
+    shard_tokens: int = 2 << 20
     docs_per_part: int = 8192
     cache_words: int = 600_000
 
@@ -248,13 +248,13 @@ class Encoder:
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[int, int] = {}
+        self.known, self.slot, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int32), 0
         self.start = np.zeros(1024, np.int64)
         self.size = np.zeros(1024, np.int64)
         self.pool, self.used = np.zeros(8192, np.uint32), 0
 
-    def _keep(self, h: int, ids: list[int]) -> None:
-        at = len(self.index)
+    def _keep(self, ids: list[int]) -> None:
+        at = self.count
         if at == len(self.start):
             self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
         while self.used + len(ids) > len(self.pool):
@@ -262,7 +262,7 @@ class Encoder:
         self.pool[self.used : self.used + len(ids)] = ids
         self.start[at], self.size[at] = self.used, len(ids)
         self.used += len(ids)
-        self.index[h] = at
+        self.count += 1
 
     def _parts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Bytes in lower case, starts and ends of parts, whether each is a word as it stands, and the parts before each text."""
@@ -294,23 +294,26 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and their number in each."""
-        if len(self.index) > self.limit:
+        if self.count > self.limit:
             self.clear()
         low, starts, ends, whole, before = self._parts(data, offsets)
         hashes = bw.word_hashes(low, starts, ends) ^ np.where(whole, np.uint64(0x9E6C63D0876A9A47), np.uint64(0))
         found, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = np.fromiter((self.index.get(h, -1) for h in found.tolist()), np.int64, len(found))
-        new = np.flatnonzero(at < 0)
+        spot = np.searchsorted(self.known, found)
+        seen = self.known[np.minimum(spot, len(self.known) - 1)] == found if len(self.known) else np.zeros(len(found), bool)
+        new = np.flatnonzero(~seen)
         if len(new):
-            raw, spot = low.tobytes(), first[new]
+            raw, one, fresh = low.tobytes(), first[new], self.count
             tokenize, letters = self.model.tokenize, self.letters
-            for h, a, b, w in zip(found[new].tolist(), starts[spot].tolist(), ends[spot].tolist(), whole[spot].tolist(), strict=True):
+            for a, b, w in zip(starts[one].tolist(), ends[one].tolist(), whole[one].tolist(), strict=True):
                 if w:
-                    ids = self.tok.encode(raw[a:b].decode("utf-8", "replace"), add_special_tokens=False).ids
+                    self._keep(self.tok.encode(raw[a:b].decode("utf-8", "replace"), add_special_tokens=False).ids)
                 else:
-                    ids = [t.id for t in tokenize(raw[a:b].decode("latin-1").translate(letters))]
-                self._keep(h, ids)
-            at[new] = [self.index[h] for h in found[new].tolist()]
+                    self._keep([t.id for t in tokenize(raw[a:b].decode("latin-1").translate(letters))])
+            self.slot = np.insert(self.slot, spot[new], np.arange(fresh, self.count, dtype=np.int32))
+            self.known = np.insert(self.known, spot[new], found[new])
+            spot = np.searchsorted(self.known, found)
+        at = self.slot[spot]
         size = self.size[at][which]
         total = np.zeros(len(size) + 1, np.int64)
         np.cumsum(size, out=total[1:])
@@ -359,7 +362,7 @@ def write_shards(docs: DataFrame, params: TokenParams) -> DataFrame:
             known = np.asarray(batch.column(0).is_valid().to_numpy(zero_copy_only=False), bool)
             doc_ids = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False)
             raw, offsets = bw.buffers(batch.column(1))
-            for a, b, data, at in bw.chunks(raw, offsets, 2 << 20):
+            for a, b, data, at in bw.chunks(raw, offsets):
                 tokens, sizes = encoder.encode(data, at, params.end_id)
                 held.append((doc_ids[a:b], known[a:b], sizes, tokens))
                 if sum(len(h[3]) for h in held) >= params.shard_tokens:
