@@ -15,12 +15,14 @@ class MixParams:
     """weights: of the sources in code-point order, repeating, null last.
 
     blocks: equal-token blocks that the whole mix is dealt in (16 a source at
-    least), shards: output shards that get integer quotas of them, repeats: most
-    times that a source is taken.
+    least), fine: blocks of its own that a source gets where those would be too
+    large for it, shards: output shards that get integer quotas of them, repeats:
+    most times that a source is taken.
     """
 
     weights: tuple[int, ...] = (1, 2, 3)
     blocks: int = 4096
+    fine: int = 64
     shards: int = 16
     repeats: int = 3
     seed: str = "mix"
@@ -60,17 +62,34 @@ def quotas(per: DataFrame, n_sources: int, total: int, params: MixParams) -> Dat
 
     A source has ``_nb`` blocks of its own text and at most ``repeats`` times as
     many seats. Seat r goes to shard (r - 1) mod shards, so that each shard's
-    quotas are whole and near its share. Rows: twice the number of seats and a
-    few per source, whatever the corpus.
+    quotas are whole and near its share. A source that is full, or whose size
+    or target is below ``fine`` blocks, is dealt apart: the smaller of both is
+    cut in ``fine`` blocks (of a word at least), and its target, rounded to
+    these, is its quota, ``repeats`` times all its blocks where it is full; the
+    others share the seats that are left. Rows: twice the number of seats, and
+    at most ``fine`` times (the largest weight or ``repeats``) and a few per
+    source, whatever the corpus.
     """
     seats = max(params.blocks, 16 * n_sources)
     size = max(total, 1) / seats
     per = per.withColumn("_nb", F.when(F.col("source_size") == 0, 0).otherwise(F.greatest(F.lit(1), F.floor(F.col("source_size") / size + 0.5))).cast("long"))
+    full = F.col("target") >= params.repeats * F.col("source_size")
+    apart = F.col("_nb").isNotNull() & (F.col("_nb") > 0) & (full | (F.least(F.col("source_size").cast("double"), F.col("target")) < params.fine * size))
+    per = per.withColumn("_apart", apart)
+    cut = F.greatest(F.lit(1.0), F.least(F.col("source_size").cast("double"), F.col("target")) / params.fine)
+    own = per.where("_apart").withColumn("_nb", F.greatest(F.lit(1), F.floor(F.col("source_size") / cut)).cast("long"))
+    due = F.when(full, params.repeats * F.col("_nb")).otherwise(F.floor(F.col("target") * F.col("_nb") / F.col("source_size") + 0.5)).cast("long")
+    own = own.withColumn("_due", F.least(due, params.repeats * F.col("_nb")))
+    taken = per.agg(F.sum(F.when(F.col("_apart"), F.col("target")).otherwise(0.0))).first()[0] or 0.0
+    seats = max(0, seats - int(taken / size + 0.5))
+    per = per.where(~F.col("_apart"))
     most = F.least(params.repeats * F.col("_nb"), (2 * F.floor(F.col("target") / size) + 5).cast("long"))
     votes = per.where(F.col("_nb") > 0).select("_k", "_rank", "source_size", "_nb", "target", F.explode(F.sequence(F.lit(1).cast("long"), most)).alias("_seat"))
     awarded = votes.withColumn("_award", F.row_number().over(Window.orderBy(F.desc(F.col("target") / (2 * F.col("_seat") - 1)), "_rank", "_seat"))).where(F.col("_award") <= seats)
     shard = (F.col("_award") - 1) % params.shards
-    return awarded.groupBy("_k", "source_size", "_nb", shard.alias("shard")).agg(F.count("*").alias("quota"))
+    own = own.where("_due > 0").select("_k", "source_size", "_nb", F.explode(F.sequence(F.lit(1).cast("long"), "_due")).alias("_seat"), (F.col("_rank") - 1).alias("_from"))
+    own = own.select("_k", "source_size", "_nb", ((F.col("_from") + F.col("_seat")) % params.shards).alias("shard"))
+    return awarded.select("_k", "source_size", "_nb", shard.alias("shard")).unionByName(own).groupBy("_k", "source_size", "_nb", "shard").agg(F.count("*").alias("quota"))
 
 
 def block_plan(quota: DataFrame, params: MixParams) -> DataFrame:
@@ -111,7 +130,8 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), keep: tuple[str, ...]
     n, total, n_sources = sized.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0)), F.count_distinct("_k")).first()
     per = targets(sized, params)
     plan = table(block_plan(quotas(per, n_sources, total, params), params), "mix-blocks")
-    small = F.broadcast(plan) if 2 * params.blocks + 34 * n_sources <= 200_000 else plan  # its rows are at most so many
+    most = 2 * params.blocks + (34 + params.fine * max(params.repeats, *params.weights)) * n_sources
+    small = F.broadcast(plan) if most <= 200_000 else plan  # its rows are at most so many
 
     digits = 1
     while 16**digits * params.bucket_docs < n:
@@ -132,7 +152,7 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), keep: tuple[str, ...]
     return line.select(*names, "size", "source_size", "target", F.coalesce(F.col("_z") - F.col("_a"), F.lit(0)).cast("long").alias("taken"))
 
 
-#: DuckDB SQL of :func:`mix` with its default parameters; {docs} is a relation with doc_id, source, text.
+#: DuckDB SQL of :func:`mix` with its default parameters, where no source is dealt apart; {docs} is a relation with doc_id, source, text.
 SQL = r"""
 WITH d AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k,
