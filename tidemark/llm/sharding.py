@@ -9,6 +9,8 @@ most one apart, and classes that no shard has room for are split over few.
 
 from __future__ import annotations
 
+import sys
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -19,13 +21,16 @@ from tidemark.llm.common import discard, salted_join, table
 
 @dataclass(frozen=True)
 class ShardParams:
-    """shards: how many; rounds: most rounds of propagation; heavy_share: a class
+    """shards: how many; rounds: after so many rounds of propagation, and each time
+    as many again, those still needed are reported; most_rounds: a safety stop,
+    reported too; heavy_share: a class
     of more than this share of all rows is salted, so there are at most
     1 / heavy_share of them; bucket_rows: rows that a task ranks at once.
     """
 
     shards: int = 40
     rounds: int = 5
+    most_rounds: int = 1000
     heavy_share: float = 1e-4
     bucket_rows: int = 4096
 
@@ -56,23 +61,33 @@ def _loads(state: DataFrame, shards: int) -> list[int]:
 
 
 def propagate(state: DataFrame, quota: list[int], params: ShardParams) -> DataFrame:
-    """Rounds over ``state`` (digest, shard, n): classes move to their fullest shard that has room."""
+    """Rounds over ``state`` (digest, shard, n), until none moves anything: classes move to their fullest shard that has room.
+
+    A class moves as a whole to where it fits; one larger than any room moves in
+    part, from smaller parts to a larger one only. So each round brings classes
+    closer together, and rounds end.
+    """
     shards = params.shards
-    for _ in range(params.rounds):
+    for k in range(params.most_rounds):
         load = _loads(state, shards)
         room = [max(0, q - n) for q, n in zip(quota, load, strict=True)]
-        # a class spread over full shards has no aim and stays
-        best = F.max(F.when(_lookup(room, F.col("shard")) > 0, F.struct("n", F.xxhash64("digest", "shard").alias("h"), "shard")))
-        aims = state.groupBy("digest").agg(best.alias("_t"), F.sum("n").alias("size")).where(F.col("_t").isNotNull())
-        aims = aims.select("digest", F.col("_t.shard").alias("aim"), (F.col("size") - F.col("_t.n")).alias("want"), "size").where("want > 0")
+        # at most one part per shard
+        parts = F.collect_list(F.struct("n", F.xxhash64("digest", "shard").alias("h"), "shard"))
+        aims = state.groupBy("digest").agg(parts.alias("_p"), F.sum("n").alias("size")).where(F.size("_p") > 1)
+        whole = F.array_max(F.filter("_p", lambda x: _lookup(room, x["shard"]) >= F.col("size") - x["n"]))
+        part = F.when(F.col("size") > max(room), F.array_max(F.filter("_p", lambda x: _lookup(room, x["shard"]) > 0)))
+        # a class that no shard has room for has no aim and stays
+        aims = aims.withColumn("_t", F.coalesce(whole, part)).withColumn("_whole", whole.isNotNull()).where(F.col("_t").isNotNull())
+        smaller = F.aggregate(F.filter("_p", lambda x: x["n"] <= F.col("_t.n")), F.lit(0).cast("long"), lambda s, x: s + x["n"])
+        want = F.when(F.col("_whole"), F.col("size")).otherwise(smaller) - F.col("_t.n")
+        aims = aims.select("digest", F.col("_t.shard").alias("aim"), want.alias("want"), "size", "_whole").where("want > 0")
         # sums of wishes per (shard, bucket) first, so that no shard's classes are sorted in one task
         aims = aims.withColumn("_b", F.pmod(F.xxhash64("digest", F.lit(5)), F.lit(max(1, sum(load) // (2 * params.bucket_rows)))))
         sums = aims.groupBy("aim", "_b").agg(F.sum("want").alias("_s"))
         base = sums.select("aim", "_b", F.coalesce(F.sum("_s").over(Window.partitionBy("aim").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
         before = F.coalesce(F.sum("want").over(Window.partitionBy("aim", "_b").orderBy("size", "digest").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         left = _lookup(room, F.col("aim")) - F.col("_base") - before
-        # a class moves as a whole or, if it is larger than any shard's room, in part
-        moves = F.when(left >= F.col("want"), F.col("want")).when(F.col("size") > max(room), F.greatest(F.lit(0).cast("long"), left)).otherwise(0)
+        moves = F.when(left >= F.col("want"), F.col("want")).when(~F.col("_whole"), F.greatest(F.lit(0).cast("long"), left)).otherwise(0)
         moves = aims.join(base, ["aim", "_b"]).select("digest", "aim", moves.alias("go")).where("go > 0")
         gone = state.join(moves, "digest", "left")
         stays = F.col("aim").isNull() | (F.col("shard") == F.col("aim"))
@@ -85,7 +100,10 @@ def propagate(state: DataFrame, quota: list[int], params: ShardParams) -> DataFr
         state = following.where("n > 0").select("digest", "shard", "n")
         state._tidemark_path = following._tidemark_path
         if not moved:
-            break
+            return state
+        if (k + 1) % params.rounds == 0:
+            print(f"sharding: classes still move after {k + 1} rounds", file=sys.stderr)
+    warnings.warn(f"sharding: stopped after {params.most_rounds} rounds with classes still moving", stacklevel=2)
     return state
 
 
