@@ -10,6 +10,7 @@ are compared in order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -24,12 +25,14 @@ NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 class DecontamParams:
     """window: consecutive words that count as leaked.
 
-    literal_words: up to as many prefix words are looked up in place;
-    beyond it texts are probed by a shuffled join, which gives the same rows.
+    literal_words: up to as many prefix words are looked up in place; beyond it
+    texts are probed by a shuffled join, which gives the same rows; only words
+    whose hash is marked in a bitmap of 2^bitmap_bits bits are shuffled then.
     """
 
     window: int = 10
     literal_words: int = 100_000
+    bitmap_bits: int = 22
 
 
 def words(text: Column) -> Column:
@@ -38,18 +41,33 @@ def words(text: Column) -> Column:
 
 
 def windows(items: DataFrame, size: int) -> DataFrame:
-    """Distinct (item, words) windows: every ``size`` words, or all of a shorter item that has words."""
-    w = items.where(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("_w"))
+    """Distinct (item, words) windows: every ``size`` words, or all of a shorter item that has words.
+
+    Items without an id have windows too; their item is null.
+    """
+    w = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("_w"))
     w = w.where(F.size("_w") > 0)
     last = F.greatest(F.lit(0), F.size("_w") - size)
     cut = F.explode(F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(F.col("_w"), i + 1, F.lit(size))))
     return w.select("item", cut.alias("window")).distinct()
 
 
-def rarity(docs: DataFrame, vocabulary: DataFrame, few: list[str] | None) -> DataFrame:
+def marked(vocabulary: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """Test of a word that all words of ``vocabulary`` pass, and few others: a bitmap of hashes, of fixed size."""
+    h = lambda w: F.xxhash64(w, F.lit(13)).bitwiseAND((1 << bits) - 1)
+    place = h(F.col("word"))
+    parts = vocabulary.select(F.shiftright(place, 6).alias("i"), F.expr("1L").alias("one"), place.bitwiseAND(63).cast("int").alias("k")).groupBy("i").agg(F.bit_or(F.call_function("shiftleft", F.col("one"), F.col("k"))).alias("m"))
+    cells = [0] * (1 << (bits - 6))
+    for r in parts.collect():  # at most 2^(bits - 6) rows, whatever the vocabulary
+        cells[r.i] = r.m
+    table = F.split(F.lit(",".join(map(str, cells))), ",").cast("array<bigint>")  # folded to one constant
+    return lambda w: F.call_function("getbit", F.get(table, F.shiftright(h(w), 6).cast("int")), h(w).bitwiseAND(63).cast("int")) == 1
+
+
+def rarity(docs: DataFrame, vocabulary: DataFrame, few: list[str] | None, params: DecontamParams) -> DataFrame:
     """How often each word of the benchmark occurs in all documents; 0 where it doesn't."""
     every = words(F.col("text"))
-    found = F.filter(every, lambda w: w.isin(few)) if few is not None else every
+    found = F.filter(every, (lambda w: w.isin(few)) if few is not None else marked(vocabulary, params.bitmap_bits))
     counts = docs.select(F.explode(found).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return vocabulary.join(counts, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"))
 
@@ -61,7 +79,7 @@ def prefixes(docs: DataFrame, items: DataFrame, params: DecontamParams) -> DataF
     few = None
     if vocabulary.count() <= params.literal_words:
         few = [r.word for r in vocabulary.collect()]
-    counts = rarity(docs, vocabulary, few)
+    counts = rarity(docs, vocabulary, few, params)
     held = per.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
     spread = held.select("window", F.posexplode("window").alias("offset", "word")).join(counts, "word")
     rarest = spread.groupBy("window").agg(F.min(F.struct("n", "word", "offset")).alias("_p"))
@@ -90,7 +108,12 @@ def hits(docs: DataFrame, index: DataFrame, params: DecontamParams) -> DataFrame
         places = text.select("_row", F.size("_w").alias("n_words"), chosen(F.col("_w")).alias("_at"), "_w")
         index = F.broadcast(index)
     else:
-        spread = docs.select("_row", F.posexplode(words(F.col("text"))).alias("at", "word"))
+        # rows are numbered once: both reads below must agree on ``_row``
+        docs = table(docs, "benchmark-rows")
+        text = docs.select("_row", words(F.col("text")).alias("_w"))
+        may = marked(probe, params.bitmap_bits)
+        some = F.filter(F.transform("_w", lambda x, i: F.when(may(x), F.struct(i.alias("at"), x.alias("word")))), lambda x: x.isNotNull())
+        spread = text.select("_row", F.inline(some))
         at = spread.join(probe, "word", "left_semi").groupBy("_row").agg(F.collect_list("at").alias("_at"))
         places = text.join(at, "_row", "left").select("_row", F.size("_w").alias("n_words"), F.coalesce("_at", F.array().cast("array<int>")).alias("_at"), "_w")
     around = F.transform("_at", lambda i: _context(i, F.col("_w"), span))
@@ -121,9 +144,11 @@ def _covered(spans: Column) -> Column:
 def decontaminate(docs: DataFrame, items: DataFrame, params: DecontamParams = DecontamParams(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``keep`` of each row with n_words, n_hit, n_items, items_sha256, contaminated.
 
-    A text without words, or null, is clean; items without words or id are in
-    no text. Repeated rows get a result each. An empty benchmark leaves all
-    clean. Columns of ``docs`` that are named like results are replaced.
+    A text without words, or null, is clean; items without words are in no
+    text. Windows of items without an id are hits too, but n_items and
+    items_sha256 tell of ids only. Repeated rows get a result each. An empty
+    benchmark leaves all clean. Columns of ``docs`` that are named like results
+    are replaced, other columns of the benchmark are ignored.
     """
     names = [c for c in keep if c not in ("n_words", "n_hit", "n_items", "items_sha256", "contaminated")]
     index = table(prefixes(docs.select("text"), items, params), "benchmark-prefixes")
@@ -141,7 +166,7 @@ SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS row, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT item_id::VARCHAR AS item,
-    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 v AS (SELECT DISTINCT item, len(x) AS n, array_to_string(x, ' ') AS win FROM
     (SELECT item, unnest([w[i:i + 9] FOR i IN range(1, greatest(1, len(w) - 9) + 1)]) AS x FROM b WHERE len(w) > 0)),
 m AS (SELECT DISTINCT n FROM v),
@@ -149,7 +174,7 @@ p AS (SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM
     (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, m WHERE len(w) >= n)),
 h AS (SELECT p.row, p.i, p.n, v.item FROM p JOIN v ON p.win = v.win AND p.n = v.n),
 c AS (SELECT row, count(DISTINCT j) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS j FROM h) GROUP BY row),
-e AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT row, item FROM h) GROUP BY row)
+e AS (SELECT row, count(item) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT row, item FROM h) GROUP BY row)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN c USING (row) LEFT JOIN e USING (row)
