@@ -26,18 +26,30 @@ from tidemark.llm.common import map_append
 
 @dataclass(frozen=True)
 class LangIdParams:
-    """Bounds of the training sample and of the parse.
+    """Bounds of the training sample, which is made of whole texts, and of the parse.
 
-    sample_docs, sample_letters: texts and symbols a language learns from.
-    max_symbols: letters that get a symbol of their own; rarer ones share one.
-    block: phrases end at every ``block``-th symbol of a text, so that texts of
-    any length are parsed side by side; all blocks of a text count.
+    max_langs: labels that are learned, the most frequent. sample_docs: texts a
+    language learns from at most. sample_letters: no further text is added once
+    a language's texts have as many characters; with more than six languages
+    all share six times as many. Texts longer than that are learned from only
+    where a language has too few others, the shortest first, and never beyond
+    ``longest`` times it. max_symbols: letters that have a symbol of their own;
+    any other letter is spelled as four symbols. block: symbols of a text that
+    are parsed side by side, which the result doesn't depend on; sync: symbols
+    after which a block is first compared with its parse from another state.
     """
 
+    max_langs: int = 200
     sample_docs: int = 96
     sample_letters: int = 40_000
+    longest: int = 4
     max_symbols: int = 94
     block: int = 512
+    sync: int = 64
+
+    def budget(self, langs: int) -> int:
+        """Characters for each language."""
+        return max(1, min(self.sample_letters, 6 * self.sample_letters // max(langs, 1)))
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -89,17 +101,15 @@ class LanguageModel:
         found: Counter[int] = Counter()
         for texts in samples.values():
             for text in texts:
-                found.update(lowered(ord(c)) for c in text[: params.sample_letters] if c.isalpha())
+                found.update(lowered(ord(c)) for c in text if c.isalpha())
         own = sorted(found, key=lambda c: (-found[c], c))[: params.max_symbols]
-        # 0: a run of other characters, 1: a letter without own symbol, the last: never in a text
-        self.width = len(own) + 3
+        # 0: a run of other characters, 1: a spelled letter follows, the last: never in a text
+        self.width = params.max_symbols + 3
         symbol = {c: i + 2 for i, c in enumerate(own)}
         table = letters().astype(np.uint8)
-        for c in range(0x2000):
-            if table[c] and (s := symbol.get(lowered(c))):
+        for c in np.flatnonzero(table).tolist():
+            if s := symbol.get(lowered(c)):
                 table[c] = s
-        for c, s in symbol.items():
-            table[c] = s
         self.symbol_of = table
         tables, roots, bits, base = [], [], [], 0
         for lang in self.langs:
@@ -107,11 +117,10 @@ class LanguageModel:
             for text in samples[lang]:
                 points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
                 sym, _ = self._stream(points, np.array([0, len(points)]))
-                seq += sym[: params.sample_letters - len(seq)].tolist()
-                if len(seq) >= params.sample_letters:
+                seq += [*sym.tolist(), self.width - 1]
+                if len(seq) >= params.budget(len(self.langs)):
                     break
-                seq.append(self.width - 1)
-            trans = suffix_automaton(seq)
+            trans = suffix_automaton(seq[:-1])
             t = np.full((len(trans), self.width), -1, np.int64)
             for i, d in enumerate(trans):
                 for c, to in d.items():
@@ -133,36 +142,96 @@ class LanguageModel:
         sym = self.symbol_of[points]
         keep = sym != 0
         keep[1:] |= sym[:-1] != 0
+        keep[offsets[:-1][np.diff(offsets) > 0]] = True
+        size = keep.astype(np.int64)
+        spelled = np.flatnonzero(sym == 1)
+        size[spelled] = 4
         at = np.zeros(len(sym) + 1, np.int64)
-        np.cumsum(keep, out=at[1:])
-        return sym[keep], at[offsets]
+        np.cumsum(size, out=at[1:])
+        if not len(spelled):
+            return sym[keep], at[offsets]
+        out = np.zeros(at[-1], np.uint8)
+        out[at[:-1][keep]] = sym[keep]
+        kinds, which = np.unique(points[spelled], return_inverse=True)
+        code = np.array([lowered(c) for c in kinds.tolist()])[which]
+        base = self.params.max_symbols
+        for k in range(3):
+            out[at[:-1][spelled] + k + 1] = code // base ** (2 - k) % base + 2
+        return out, at[offsets]
+
+    def _advance(self, state: np.ndarray, sym: np.ndarray, start: np.ndarray, length: np.ndarray, a: int, z: int) -> np.ndarray:
+        """Parse symbols a to z of blocks, the longest first, from ``state``, which moves on; phrases opened in each."""
+        count = np.zeros(state.shape, np.int32)
+        active = len(length) - np.searchsorted(length[::-1], np.arange(a + 1, z + 1), "left")
+        for j in range(a, z):
+            k = active[j - a]
+            if not k:
+                break
+            got = self.table[state[..., :k] + sym[start[:k] + j]]
+            count[..., :k] += got & 1
+            np.right_shift(got, 1, out=got)
+            state[..., :k] = got
+        return count
 
     def parse(self, sym: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """Phrases of each text by each language: array (languages, texts)."""
+        """Greedy phrases of each text by each language: array (languages, texts).
+
+        Blocks of a text are parsed side by side as if each began a text, then
+        again from the state that the block before really ends in, until no
+        state changes. Parses soon agree whatever they began with, so little is
+        done twice.
+        """
         block, n = self.params.block, len(offsets) - 1
-        size = np.diff(offsets)
-        parts = -(-size // block)
+        parts = -(-np.diff(offsets) // block)
         doc = np.repeat(np.arange(n), parts)
         nth = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
         start = offsets[doc] + nth * block
         length = np.minimum(block, offsets[doc + 1] - start)
         order = np.argsort(-length, kind="stable")
-        start, length, doc = start[order], length[order], doc[order]
-        active = len(length) - np.searchsorted(length[::-1], np.arange(1, block + 1), "left")
-        state = np.repeat(self.roots[:, None], len(start), 1)
-        count = np.zeros(state.shape, np.int32)
-        for j in range(int(length[0]) if len(length) else 0):
-            k = active[j]
-            got = self.table[state[:, :k] + sym[start[:k] + j]]
-            count[:, :k] += got & 1
-            np.right_shift(got, 1, out=got)
-            state[:, :k] = got
-        return np.stack([np.bincount(doc, c, n) for c in count]) if len(count) else np.zeros((0, n))
+        start, length, doc, nth = start[order], length[order], doc[order], nth[order]
+        if not len(order) or not self.langs:
+            return np.zeros((len(self.langs), n))
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        # the block before each, by the order of lengths
+        before = place[np.maximum(order - 1, 0)]
+        later = np.zeros(len(order), np.int64)
+        later[before[nth > 0]] = np.flatnonzero(nth > 0)
+        goes_on = np.zeros(len(order), bool)
+        goes_on[before[nth > 0]] = True
+
+        most, sync = int(length[0]), min(self.params.sync, int(length[0]))
+        entry = np.repeat(self.roots[:, None], len(order), 1).astype(np.int32)
+        state = entry.astype(np.int64)
+        early = self._advance(state, sym, start, length, 0, sync)
+        middle = state.astype(np.int32)
+        total = early + self._advance(state, sym, start, length, sync, most)
+        leaves = state.astype(np.int32)
+        lang, at = np.nonzero(np.broadcast_to(nth > 0, entry.shape))
+        while len(at):
+            new = leaves[lang, before[at]]
+            changed = new != entry[lang, at]
+            lang, at, new = lang[changed], at[changed], new[changed]
+            entry[lang, at] = new
+            by_length = np.argsort(at, kind="stable")
+            lang, at, state = lang[by_length], at[by_length], new[by_length].astype(np.int64)
+            count = self._advance(state, sym, start[at], length[at], 0, sync)
+            same = state == middle[lang, at]
+            total[lang, at] += count - early[lang, at]
+            early[lang, at], middle[lang, at] = count, state
+            lang, at, state = lang[~same], at[~same], state[~same]
+            rest = self._advance(state, sym, start[at], length[at], sync, most)
+            total[lang, at] = early[lang, at] + rest
+            moved = (state != leaves[lang, at]) & goes_on[at]
+            leaves[lang, at] = state
+            lang, at = lang[moved], later[at[moved]]
+        return np.stack([np.bincount(doc, c, n) for c in total])
 
-    def predict(self, column: pa.Array) -> tuple[pa.Array, pa.Array]:
+    def predict(self, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
+        """Language, score and bits per symbol of each text."""
         raw, offsets = bw.buffers(column)
         name = np.full(len(column), len(self.langs), np.int64)
-        score = np.zeros(len(column))
+        score, bits = np.zeros(len(column)), np.zeros(len(column))
         for a, b, data, at in bw.chunks(raw, offsets, 2 << 20):
             sym, to = self._stream(*bw.utf32(data, at))
             if not self.langs or not len(sym):
@@ -176,43 +245,48 @@ class LanguageModel:
             second = np.partition(cost, 1, 0)[1] if len(cost) > 1 else np.full(len(least), np.inf)
             name[a:b] = np.where(some, best, len(self.langs))
             score[a:b] = np.where(some, np.clip(1 - least / np.maximum(second, 1e-9), 0, 1), 0)
+            bits[a:b] = np.where(some, least / np.maximum(np.diff(to), 1), 0)
         names = pa.array([*self.langs, "und"], pa.string())
-        return names.take(pa.array(name)), pa.array(score)
+        return names.take(pa.array(name)), pa.array(score), pa.array(bits)
 
 
 def fit(docs: DataFrame, may_learn: Column, params: LangIdParams = LangIdParams()) -> LanguageModel:
-    """Learn from a bounded sample: the ``sample_docs`` texts a language with the least id hash.
+    """Learn from a bounded sample of whole texts, drawn by a hash of id and text.
 
-    Rows without a label, text or id teach nothing. The sample is chosen from
-    ids and labels alone, then the texts of those ids are read.
+    Rows without a label, text or id teach nothing, equal rows count once.
+    Labels are counted first, by an aggregation; then only rows below a
+    language's hash threshold, about four times as many as it may learn from,
+    are grouped, ranked and brought to the driver.
     """
-    h = F.xxhash64(F.col("doc_id"), F.lit(7))
-    ranked = (
-        docs.where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-        .select("doc_id", "lang", h.alias("_h"))
-        .withColumn("_r", F.row_number().over(Window.partitionBy("lang").orderBy("_h", "doc_id")))
-        .where(F.col("_r") <= params.sample_docs)
-    )
-    chosen = {r.doc_id: r.lang for r in ranked.select("doc_id", "lang").collect()}
+    rows = docs.where(may_learn & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).withColumn("lang", F.col("lang").cast("string"))
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(params.max_langs).collect()}
+    if not sizes:
+        return LanguageModel({}, params)
+    budget, whole = params.budget(len(sizes)), 1 << 40
+    pick = {lang: min(whole, 4 * params.sample_docs * whole // n + 1) for lang, n in sizes.items()}
+    below = F.create_map(*[F.lit(x) for kv in pick.items() for x in kv])
+    size, h = F.length("text"), F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(whole))
+    drawn = rows.where((size > 0) & (size <= params.longest * budget)).select("lang", h.alias("_h"), F.col("text").cast("string").alias("text")).where(F.col("_h") < F.element_at(below, F.col("lang")))
+    drawn = drawn.groupBy("lang", "_h").agg(F.min("text").alias("text")).withColumn("_n", F.length("text"))
+    order = Window.partitionBy("lang").orderBy(F.when(F.col("_n") > budget, F.col("_n")).otherwise(0), "_h")
+    before = F.coalesce(F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    chosen = drawn.withColumns({"_r": F.row_number().over(order), "_before": before}).where((F.col("_r") <= params.sample_docs) & (F.col("_before") < budget))
     samples: dict[str, list[str]] = {}
-    if chosen:
-        cut = F.substring("text", 1, params.sample_letters * 2)
-        rows = docs.where(F.col("doc_id").isin(list(chosen)) & may_learn & F.col("lang").isNotNull()).select("doc_id", "lang", cut.alias("text"))
-        for r in sorted(rows.collect(), key=lambda r: (r.lang, r.doc_id, r.text or "")):
-            if r.text:
-                samples.setdefault(r.lang, []).append(r.text)
+    for r in sorted(chosen.select("lang", "_r", "text").collect(), key=lambda r: (r.lang, r["_r"])):
+        samples.setdefault(r.lang, []).append(r.text)
     return LanguageModel(samples, params)
 
 
 def identify(docs: DataFrame, model: LanguageModel, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``lang_pred`` and ``score`` to every row.
+    """Add ``lang_pred``, ``score`` and ``bits`` to every row.
 
     Null, empty and letterless texts give ``und`` and 0. Score is
     1 - best / second best cost, so 0 means a tie, which the name first in
-    order wins. Repeated rows give repeated results. Existing columns of these
-    two names are replaced.
+    order wins; bits is the best cost by symbol, high where no language explains
+    the text. Repeated rows give repeated results. Existing columns of these
+    three names are replaced.
     """
     at = docs.columns.index("text")
     held = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType())]
     return map_append(docs, lambda batch: held.value.predict(batch.column(at)), fields, drop)
