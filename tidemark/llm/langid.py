@@ -227,11 +227,11 @@ class LanguageModel:
             lang, at = lang[moved], later[at[moved]]
         return np.stack([np.bincount(doc, c, n) for c in total])
 
-    def predict(self, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array]:
-        """Language, score and bits per symbol of each text."""
+    def predict(self, column: pa.Array) -> tuple[pa.Array, pa.Array, pa.Array, pa.Array]:
+        """Language, score, bits per symbol of each text, and whether they explain it better than plain symbols."""
         raw, offsets = bw.buffers(column)
         name = np.full(len(column), len(self.langs), np.int64)
-        score, bits = np.zeros(len(column)), np.zeros(len(column))
+        score, bits, fits = np.zeros(len(column)), np.zeros(len(column)), np.zeros(len(column), bool)
         for a, b, data, at in bw.chunks(raw, offsets, 2 << 20):
             sym, to = self._stream(*bw.utf32(data, at))
             if not self.langs or not len(sym):
@@ -245,9 +245,11 @@ class LanguageModel:
             second = np.partition(cost, 1, 0)[1] if len(cost) > 1 else np.full(len(least), np.inf)
             name[a:b] = np.where(some, best, len(self.langs))
             score[a:b] = np.where(some, np.clip(1 - least / np.maximum(second, 1e-9), 0, 1), 0)
-            bits[a:b] = np.where(some, least / np.maximum(np.diff(to), 1), 0)
+            size = np.diff(to)
+            bits[a:b] = np.where(some, least / np.maximum(size, 1), 0)
+            fits[a:b] = some & (least <= size * np.log2(self.width) + 2 * self.bits.max())
         names = pa.array([*self.langs, "und"], pa.string())
-        return names.take(pa.array(name)), pa.array(score), pa.array(bits)
+        return names.take(pa.array(name)), pa.array(score), pa.array(bits), pa.array(fits)
 
 
 def fit(docs: DataFrame, may_learn: Column, params: LangIdParams = LangIdParams()) -> LanguageModel:
@@ -278,15 +280,16 @@ def fit(docs: DataFrame, may_learn: Column, params: LangIdParams = LangIdParams(
 
 
 def identify(docs: DataFrame, model: LanguageModel, drop: tuple[str, ...] = ()) -> DataFrame:
-    """Add ``lang_pred``, ``score`` and ``bits`` to every row.
+    """Add ``lang_pred``, ``score``, ``bits`` and ``explained`` to every row.
 
     Null, empty and letterless texts give ``und`` and 0. Score is
     1 - best / second best cost, so 0 means a tie, which the name first in
-    order wins; bits is the best cost by symbol, high where no language explains
-    the text. Repeated rows give repeated results. Existing columns of these
-    three names are replaced.
+    order wins; bits is the best cost by symbol. A text is explained if that
+    cost is at most that of two phrases and of all its symbols spelled one by
+    one: random letters are not. Repeated rows give repeated results. Existing
+    columns of these four names are replaced.
     """
     at = docs.columns.index("text")
     held = docs.sparkSession.sparkContext.broadcast(model)
-    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType())]
+    fields = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("bits", T.DoubleType()), T.StructField("explained", T.BooleanType())]
     return map_append(docs, lambda batch: held.value.predict(batch.column(at)), fields, drop)

@@ -21,7 +21,7 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     model = langid.fit(docs, ~held_out)
     out = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model, drop=("text",))
-    return out.select("doc_id", "held_out", "lang_pred", "score", "bits")
+    return out.select("doc_id", "held_out", "lang_pred", "score", "bits", "explained")
 
 
 def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
