@@ -26,20 +26,24 @@ def _same(a: str, b: str) -> Column:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents of no language: null, empty and letterless texts. Others stay, whatever language they are in."""
+    """Rejects texts of no language: null, empty and letterless ones, and those that no language explains, such as random letters.
+
+    ``lang`` becomes the predicted language of what stays.
+    """
     model = langid.fit(docs, F.lit(True))
-    own = {c: f"_own_{c}" for c in ("lang_pred", "score") if c in docs.columns}
-    found = langid.identify(docs.withColumnsRenamed(own), model).where(F.col("lang_pred") != "und").drop("lang_pred", "score")
-    return found.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
+    made = ("lang_pred", "score", "bits", "explained")
+    own = {c: f"_own_{c}" for c in made if c in docs.columns}
+    found = langid.identify(docs.withColumnsRenamed(own), model).where((F.col("lang_pred") != "und") & F.col("explained"))
+    return found.withColumn("lang", F.col("lang_pred")).drop(*made).withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class of near-duplicates."""
+    """Rejects all but one document of each class of near-duplicates."""
     return bagminhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item."""
+    """Rejects documents that hold a window of a benchmark item."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     marked = _text_mark(docs)
     found = decontam.decontaminate(marked.select("doc_id", "text", "_mark"), items, keep=("doc_id", "_mark"))
@@ -49,7 +53,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeat or drop documents as the mix takes their words.
+    """Rejects documents of which the mix takes less than half, and repeats others.
 
     A document comes as often as its taken words make it up, rounded half up;
     rows equal in id and text share what they take evenly.
@@ -63,7 +67,7 @@ def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Write token shards and return one row per document, read back from them."""
+    """Rejects nothing: writes token shards and returns one row per document, read back from them."""
     return wavelet.read_shards(wavelet.write_shards(docs, queries.token_params()))
 
 
