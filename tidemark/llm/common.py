@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -113,6 +113,21 @@ def map_append(
     return df.mapInArrow(apply, schema)
 
 
+def running(sums: DataFrame, groups: Sequence[str], at: str, value: str, name: str, width: int = 4096) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows of a group whose ``at``, a whole number from 0, is less.
+
+    ``at`` is unique in a group. Runs of ``width`` numbers are summed first, so a
+    task sorts at most ``width`` rows, or one row per run.
+    """
+    zero = F.lit(0).cast("long")
+    runs = sums.withColumn("_run", F.floor(F.col(at) / width))
+    ahead = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    outer = runs.groupBy(*groups, "_run").agg(F.sum(value).alias("_all"))
+    outer = outer.select(*groups, "_run", F.coalesce(F.sum("_all").over(ahead(Window.partitionBy(*groups).orderBy("_run"))), zero).alias("_outer"))
+    inner = F.coalesce(F.sum(value).over(ahead(Window.partitionBy(*groups, "_run").orderBy(at))), zero)
+    return runs.join(outer, [*groups, "_run"]).withColumn(name, F.col("_outer") + inner).drop("_run", "_outer")
+
+
 def salted_join(big: DataFrame, keyed: DataFrame, key: str, weight: str, per: int, how: str = "inner") -> DataFrame:
     """Equi-join on ``key`` where a key may hold a third of ``big``'s rows.
 

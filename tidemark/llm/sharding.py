@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import discard, salted_join, table
+from tidemark.llm.common import discard, running, salted_join, table
 
 
 @dataclass(frozen=True)
@@ -35,18 +35,21 @@ class ShardParams:
     bucket_rows: int = 4096
 
 
-def ranked(rows: DataFrame, groups: list[str], order: list[str], n: int, name: str, bucket_rows: int) -> DataFrame:
-    """Add ``name``, the place of each row in its group, from 0 without gaps.
+#: Order of rows that doesn't depend on how they are dealt out: hash of id and text, id, and at last the place in the table.
+ORDER = ("_h", "_id", "_row")
+
+
+def ranked(rows: DataFrame, groups: list[str], n: int, name: str, bucket_rows: int) -> DataFrame:
+    """Add ``name``, the place of each row in its group in a fixed random order, from 0 without gaps.
 
     Groups may be of any size: rows are first counted per hash bucket, buckets
-    growing in number with ``n``, and only ranked inside one.
+    growing in number with ``n``, and only ranked inside one. Rows without an id
+    are spread by their place in the table.
     """
     buckets = max(1, n // bucket_rows)
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64(*order, F.lit(3)), F.lit(buckets)))
-    counts = rows.groupBy(*groups, "_b").agg(F.count("*").alias("_n"))
-    ahead = Window.partitionBy(*groups).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("_base", F.coalesce(F.sum("_n").over(ahead), F.lit(0).cast("long"))).drop("_n")
-    inside = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(*order)) - 1
+    rows = rows.withColumn("_b", F.pmod(F.xxhash64("_h", F.when(F.col("_id").isNull(), F.col("_row")), F.lit(3)), F.lit(buckets)))
+    base = running(rows.groupBy(*groups, "_b").agg(F.count("*").alias("_n")), groups, "_b", "_n", "_base").drop("_n")
+    inside = F.row_number().over(Window.partitionBy(*groups, "_b").orderBy(*ORDER)) - 1
     return rows.join(base, [*groups, "_b"]).withColumn(name, (F.col("_base") + inside).cast("long")).drop("_b", "_base")
 
 
@@ -83,8 +86,7 @@ def propagate(state: DataFrame, quota: list[int], params: ShardParams) -> DataFr
         aims = aims.select("digest", F.col("_t.shard").alias("aim"), want.alias("want"), "size", "_whole").where("want > 0")
         # sums of wishes per (shard, bucket) first, so that no shard's classes are sorted in one task
         aims = aims.withColumn("_b", F.pmod(F.xxhash64("digest", F.lit(5)), F.lit(max(1, sum(load) // (2 * params.bucket_rows)))))
-        sums = aims.groupBy("aim", "_b").agg(F.sum("want").alias("_s"))
-        base = sums.select("aim", "_b", F.coalesce(F.sum("_s").over(Window.partitionBy("aim").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+        base = running(aims.groupBy("aim", "_b").agg(F.sum("want").alias("_s")), ["aim"], "_b", "_s", "_base").drop("_s")
         before = F.coalesce(F.sum("want").over(Window.partitionBy("aim", "_b").orderBy("size", "digest").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         left = _lookup(room, F.col("aim")) - F.col("_base") - before
         moves = F.when(left >= F.col("want"), F.col("want")).when(~F.col("_whole"), F.greatest(F.lit(0).cast("long"), left)).otherwise(0)
@@ -136,8 +138,7 @@ def _spread(state: DataFrame, quota: list[int]) -> DataFrame:
 def _relieved(state: DataFrame, quota: list[int], load: list[int], total: int, params: ShardParams) -> DataFrame:
     """What is beyond a shard's quota goes where there is room; only happens where nearly all documents are linked."""
     rows = state.withColumn("_b", F.pmod(F.xxhash64("digest", F.lit(9)), F.lit(max(1, total // params.bucket_rows))))
-    sums = rows.groupBy("shard", "_b").agg(F.sum("n").alias("_s"))
-    base = sums.select("shard", "_b", F.coalesce(F.sum("_s").over(Window.partitionBy("shard").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    base = running(rows.groupBy("shard", "_b").agg(F.sum("n").alias("_s")), ["shard"], "_b", "_s", "_base").drop("_s")
     before = F.coalesce(F.sum("n").over(Window.partitionBy("shard", "_b").orderBy("digest").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rows = rows.join(base, ["shard", "_b"]).withColumn("_to", F.col("_base") + before + F.col("n"))
     over = F.least(F.col("n"), F.greatest(F.lit(0).cast("long"), F.col("_to") - _lookup(quota, F.col("shard"))))
@@ -153,22 +154,26 @@ def _relieved(state: DataFrame, quota: list[int], load: list[int], total: int, p
 
 
 def assign(docs: DataFrame, params: ShardParams = ShardParams(), keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Columns ``keep`` of each row with size, text_crc32, law, shard, slot and grown_shard.
-
-    Law ``rows``: shards differ by one row at most. Null texts have size 16, a
-    null crc32 and no links; equal ids or repeated rows are rows like others,
-    whose equal texts are linked. Columns of ``docs`` named like results are
-    replaced.
+    """Columns ``keep`` of each row with size, text_crc32, law, shard, slot, grown_shard, copies and copies_here.
+
+    Law ``rows``: shards differ by one row at most. Null texts are no bytes:
+    size 16, crc32 0 and no links. Equal ids or repeated rows are rows like
+    others, whose equal texts are linked. copies counts the documents of a text
+    and copies_here those in the same shard; :func:`cut_links` sums them up.
+    Where a document goes follows from ids and texts, however the table is
+    dealt out; only rows without an id, or equal in id and text, may change
+    places. Columns of ``docs`` named like results are replaced.
     """
     shards = params.shards
-    names = [c for c in keep if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
+    names = [c for c in keep if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard", "copies", "copies_here")]
     size = (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long")
-    rows = docs.select(*names, size.alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"), F.md5(F.col("text").cast("binary")).alias("digest"), F.monotonically_increasing_id().alias("_row"))
+    digest, crc = F.md5(F.col("text").cast("binary")), F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("long"))
+    rows = docs.select(*names, size.alias("size"), crc.alias("text_crc32"), digest.alias("digest"), F.xxhash64("doc_id", digest, F.lit(1)).alias("_h"), F.col("doc_id").cast("string").alias("_id"), F.monotonically_increasing_id().alias("_row"))
     rows = table(rows, "shard-rows")
     n = rows.count()
     quota = [n // shards + (s < n % shards) for s in range(shards)]
 
-    start = F.pmod(F.xxhash64("_row", F.lit(1)), F.lit(shards))
+    start = F.pmod(F.xxhash64("_h", F.when(F.col("_id").isNull(), F.col("_row"))), F.lit(shards))
     per = rows.where(F.col("digest").isNotNull()).groupBy("digest", start.alias("shard")).agg(F.count("*").alias("n"))
     sizes = per.groupBy("digest").agg(F.sum("n").alias("size"), F.sum(F.lit(1)).alias("_k")).where("size > 1").select("digest")
     state = propagate(_spread(table(per.join(sizes, "digest", "left_semi"), "shard-state"), quota), quota, params)
@@ -186,20 +191,32 @@ def assign(docs: DataFrame, params: ShardParams = ShardParams(), keep: tuple[str
     placed = table(salted_join(picked, light, "digest", "weight", many, "left").drop("weight", "_pick"), "shard-placed")
 
     whole = placed.where(F.size("parts") == 1).withColumn("shard", F.col("parts")[0]["shard"])
-    split = ranked(placed.where(F.size("parts") > 1), ["digest"], ["_row"], n, "_r", params.bucket_rows)
+    split = ranked(placed.where(F.size("parts") > 1), ["digest"], n, "_r", params.bucket_rows)
     step = lambda s, x: F.struct(
         F.when((s["left"] >= 0) & (s["left"] < x["n"]), x["shard"]).otherwise(s["shard"]).alias("shard"),
         (s["left"] - x["n"]).alias("left"),
     )
     begin = F.struct(F.lit(-1).cast("long").alias("shard"), F.col("_r").alias("left"))
     split = split.withColumn("shard", F.aggregate("parts", begin, step)["shard"]).drop("_r")
-    linked = ranked(whole.unionByName(split).drop("parts"), ["shard"], ["_row"], n, "slot", params.bucket_rows)
+    linked = whole.unionByName(split)
+    copies = F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    here = F.aggregate("parts", F.lit(0).cast("long"), lambda a, x: a + F.when(x["shard"] == F.col("shard"), x["n"]).otherwise(0))
+    linked = linked.withColumns({"copies": copies, "copies_here": here}).drop("parts")
+    linked = ranked(linked, ["shard"], n, "slot", params.bucket_rows)
 
     room = [q - k for q, k in zip(quota, load, strict=True)]
     ends = [sum(room[: s + 1]) for s in range(shards)]
-    single = ranked(placed.where(F.col("parts").isNull()).drop("parts"), [], ["_row"], n, "_p", params.bucket_rows)
+    single = ranked(placed.where(F.col("parts").isNull()).drop("parts"), [], n, "_p", params.bucket_rows)
     bounds = F.array(*[F.lit(e) for e in ends]).cast("array<bigint>")
     single = single.withColumn("shard", F.size(F.filter(bounds, lambda e: e <= F.col("_p"))).cast("long"))
     single = single.withColumn("slot", F.col("_p") - _lookup([e - r for e, r in zip(ends, room, strict=True)], F.col("shard")) + _lookup(load, F.col("shard"))).drop("_p")
-    out = linked.unionByName(single)
-    return out.select(*names, "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"))
+    one = F.lit(1).cast("long")
+    out = linked.unionByName(single.withColumns({"copies": one, "copies_here": one}))
+    return out.select(*names, "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), "slot", F.lit(None).cast("int").alias("grown_shard"), "copies", "copies_here")
+
+
+def cut_links(assigned: DataFrame) -> DataFrame:
+    """One row: links of a star over each group of equal texts, and how many of them lead to another shard."""
+    groups, parts = F.sum(1 / F.col("copies")), F.sum(1 / F.col("copies_here"))
+    whole = lambda c: F.coalesce(F.round(c), F.lit(0)).cast("long")
+    return assigned.agg(whole(F.count("*") - groups).alias("links"), whole(parts - groups).alias("cut"))
