@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import space_words, table
+from tidemark.llm.common import running, space_words, table
 
 
 @dataclass(frozen=True)
@@ -93,25 +93,30 @@ def quotas(per: DataFrame, n_sources: int, total: int, params: MixParams) -> Dat
 
 
 def block_plan(quota: DataFrame, params: MixParams) -> DataFrame:
-    """Seeded choice of blocks: how often each block of a source is drawn, and where it starts.
+    """Seeded choice of blocks: how often each block of a source is drawn, for which shards, and where it starts.
 
     Round after round a source's blocks are drawn in the order of a seeded hash
-    until its quota is met.
+    until its quota is met; the draws fill the shards' quotas one after another.
     """
-    have = quota.groupBy("_k", "source_size", "_nb").agg(F.sum("quota").alias("_quota"))
+    each = F.sort_array(F.collect_list(F.struct("shard", "quota")))
+    have = quota.groupBy("_k", "source_size", "_nb").agg(F.sum("quota").alias("_quota"), each.alias("_each"))
     blocks = have.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_nb") - 1)))
     place = F.row_number().over(Window.partitionBy("_k").orderBy(_seeded(params, F.col("_k"), F.col("_block")), "_block")) - 1
     whole = F.floor(F.col("_quota") / F.col("_nb"))
     rest = F.col("_quota") % F.col("_nb")
-    blocks = blocks.withColumn("times", (whole + F.when(place < rest, 1).otherwise(0)).cast("long"))
+    blocks = blocks.withColumn("_place", place).withColumn("times", (whole + F.when(F.col("_place") < rest, 1).otherwise(0)).cast("long"))
+    # draw number t of a source goes to the first shard whose quota, added to those before, is above t
+    full = lambda t: F.aggregate("_each", F.struct(t.cast("long").alias("left"), F.lit(None).cast("long").alias("s")), lambda a, x: F.struct((a["left"] - x["quota"]).alias("left"), F.coalesce(a["s"], F.when(a["left"] < x["quota"], x["shard"].cast("long"))).alias("s")), lambda a: a["s"])
+    draws = F.transform(F.filter(F.sequence(F.lit(0).cast("long"), F.lit(params.repeats).cast("long")), lambda r: r < F.col("times")), lambda r: full(F.col("_place") + r * F.col("_nb")))
+    blocks = blocks.withColumn("_shards", F.array_join(draws, ","))
     edge = lambda b: F.expr(f"({b} * source_size) div _nb")
     blocks = blocks.withColumn("_lo", edge("_block")).withColumn("_len", edge("(_block + 1)") - F.col("_lo"))
     run = Window.partitionBy("_k").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("_before", F.coalesce(F.sum(F.col("times") * F.col("_len")).over(run), F.lit(0).cast("long"))).select("_k", "_block", "_lo", "times", "_before", "_nb")
+    return blocks.withColumn("_before", F.coalesce(F.sum(F.col("times") * F.col("_len")).over(run), F.lit(0).cast("long"))).select("_k", "_block", "_lo", "times", "_before", "_nb", "_shards")
 
 
 def mix(docs: DataFrame, params: MixParams = MixParams(), keep: tuple[str, ...] = ("doc_id", "source")) -> DataFrame:
-    """Columns ``keep`` of ``docs`` with size, source_size, target and taken.
+    """Columns ``keep`` of ``docs`` with size, source_size, target, taken and shards.
 
     Size counts words apart from white space (null and empty texts: 0, and
     nothing is taken of them). Documents of a source lie in the order of a
@@ -120,10 +125,12 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), keep: tuple[str, ...]
     positions are summed per (source, hash bucket) first, buckets growing in
     number with the documents, so no source is sorted in one task. Null ids
     share one place in the order; equal ids lie side by side in any order of
-    their sizes, smallest first. Extra columns named like results are replaced.
+    their sizes, smallest first. shards names the output shards, comma-joined,
+    that draw the block of a document's first word; empty if none does. Extra
+    columns named like results are replaced.
     """
     key = F.when(F.col("source").isNull(), F.lit("1")).otherwise(F.concat(F.lit("0"), F.col("source").cast("string")))
-    names = [c for c in keep if c not in ("size", "source_size", "target", "taken")]
+    names = [c for c in keep if c not in ("size", "source_size", "target", "taken", "shards")]
     order = ("_h", "size", *[c for c in names if c != "source"])
     sized = docs.select(*names, key.alias("_k"), F.size(space_words(F.col("text"))).cast("long").alias("size"), _seeded(params, F.col("doc_id")).alias("_h"))
     sized = table(sized, "mix-sizes")
@@ -136,9 +143,8 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), keep: tuple[str, ...]
     digits = 1
     while 16**digits * params.bucket_docs < n:
         digits += 1
-    sized = sized.withColumn("_b", F.substring("_h", 1, digits))
-    sums = sized.groupBy("_k", "_b").agg(F.sum("size").alias("_sum"))
-    bases = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))).drop("_sum")
+    sized = sized.withColumn("_b", F.conv(F.substring("_h", 1, digits), 16, 10).cast("long"))
+    bases = running(sized.groupBy("_k", "_b").agg(F.sum("size").alias("_sum")), ["_k"], "_b", "_sum", "_base").drop("_sum")
     bases = bases.join(per.select("_k", "source_size", "target"), "_k")
     inside = Window.partitionBy("_k", "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     line = sized.join(bases, ["_k", "_b"]).withColumn("_at", F.col("_base") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
@@ -147,9 +153,11 @@ def mix(docs: DataFrame, params: MixParams = MixParams(), keep: tuple[str, ...]
     line = line.join(nb, "_k", "left").withColumn("_end", F.col("_at") + F.col("size"))
     line = line.withColumn("_first", F.expr("case when size > 0 then ((_at + 1) * _n - 1) div source_size end")).withColumn("_last", F.expr("case when size > 0 then (_end * _n - 1) div source_size end"))
     for side, block, point in (("a", "_first", "_at"), ("z", "_last", "_end")):
-        edge = small.select("_k", F.col("_block").alias(block), (F.col("_before") - F.col("times") * F.col("_lo")).alias("_c"), F.col("times").alias("_t"))
+        edge = small.select("_k", F.col("_block").alias(block), (F.col("_before") - F.col("times") * F.col("_lo")).alias("_c"), F.col("times").alias("_t"), *(["_shards"] if side == "a" else []))
         line = line.join(edge, ["_k", block], "left").withColumn(f"_{side}", F.col("_c") + F.col("_t") * F.col(point)).drop("_c", "_t")
-    return line.select(*names, "size", "source_size", "target", F.coalesce(F.col("_z") - F.col("_a"), F.lit(0)).cast("long").alias("taken"))
+    taken = F.coalesce(F.col("_z") - F.col("_a"), F.lit(0)).cast("long")
+    lead = [c for c in names if c == "doc_id"]
+    return line.select(*lead, "size", "source_size", "target", taken.alias("taken"), *[c for c in names if c not in lead], F.coalesce("_shards", F.lit("")).alias("shards"))
 
 
 #: DuckDB SQL of :func:`mix` with its default parameters, where no source is dealt apart; {docs} is a relation with doc_id, source, text.
@@ -167,13 +175,17 @@ n AS (SELECT greatest(4096, 16 * count(*)) AS seats, greatest(sum(source_size),
 b AS (SELECT t.*, seats, bs, CASE WHEN source_size = 0 THEN 0 ELSE greatest(1, floor(source_size / bs + 0.5))::BIGINT END AS nb FROM t, n),
 v AS (SELECT *, unnest(generate_series(1, least(3 * nb, 2 * floor(target / bs)::BIGINT + 5))) AS seat FROM b WHERE nb > 0),
 a AS (SELECT *, row_number() OVER (ORDER BY target / (2 * seat - 1) DESC, r, seat) AS award FROM v),
+e AS (SELECT k, (award - 1) % 16 AS shard, count(*) AS quota FROM a WHERE award <= seats GROUP BY ALL),
+u AS (SELECT k, shard, quota, sum(quota) OVER (PARTITION BY k ORDER BY shard) AS upto FROM e),
 q AS (SELECT k, source_size, nb, count(*) AS quota FROM a WHERE award <= seats GROUP BY ALL),
 c AS (SELECT *, unnest(generate_series(0, nb - 1)) AS block FROM q),
-p AS (SELECT *, quota // nb + CASE WHEN row_number() OVER (PARTITION BY k ORDER BY md5('mix|' || k || '|' || block), block) <= quota % nb THEN 1 ELSE 0 END AS times,
-    block * source_size // nb AS lo, (block + 1) * source_size // nb AS hi FROM c),
+z AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY md5('mix|' || k || '|' || block), block) - 1 AS place FROM c),
+p AS (SELECT *, quota // nb + CASE WHEN place < quota % nb THEN 1 ELSE 0 END AS times, block * source_size // nb AS lo, (block + 1) * source_size // nb AS hi FROM z),
+y AS (SELECT k, block, place + nb * unnest(range(times::BIGINT)) AS draw FROM p),
+g AS (SELECT y.k, y.block, string_agg(u.shard::VARCHAR, ',' ORDER BY y.draw) AS shards FROM y JOIN u ON u.k = y.k AND y.draw < u.upto AND y.draw >= u.upto - u.quota GROUP BY ALL),
 o AS (SELECT d.*, coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, size, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS at FROM d)
 SELECT o.doc_id, any_value(o.source) AS source, o.size::BIGINT AS size, any_value(t.source_size)::BIGINT AS source_size, any_value(t.target)::DOUBLE AS target,
-  coalesce(sum(p.times * (least(o.at + o.size, p.hi) - greatest(o.at, p.lo))), 0)::BIGINT AS taken
-FROM o JOIN t ON o.k = t.k LEFT JOIN p ON p.k = o.k AND p.lo < o.at + o.size AND p.hi > o.at AND o.size > 0
+  coalesce(sum(p.times * (least(o.at + o.size, p.hi) - greatest(o.at, p.lo))), 0)::BIGINT AS taken, coalesce(any_value(g.shards) FILTER (p.lo <= o.at), '') AS shards
+FROM o JOIN t ON o.k = t.k LEFT JOIN p ON p.k = o.k AND p.lo < o.at + o.size AND p.hi > o.at AND o.size > 0 LEFT JOIN g ON g.k = p.k AND g.block = p.block
 GROUP BY o.doc_id, o.k, o.size, o.at
 """
