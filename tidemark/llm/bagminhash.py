@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import bytewords as bw
-from tidemark.llm.common import bound_batches, discard, map_append, table
+from tidemark.llm.common import bound_batches, discard, map_append, split_join, table
 
 U = np.uint64
 
@@ -29,13 +29,16 @@ U = np.uint64
 @dataclass(frozen=True)
 class NearDupParams:
     """shingle: words of a shingle; similarity: least weighted Jaccard of a link;
-    bands x rows: registers, so that a pair at 0.8 shares a band with chance 0.99995.
+    bands x rows: registers, so that a pair at 0.8 shares a band with chance 0.99995;
+    heavy_share: texts and classes of more than this share of all rows, of which
+    there are at most 1 / heavy_share, are looked up by broadcast.
     """
 
     shingle: int = 5
     similarity: float = 0.8
     bands: int = 25
     rows: int = 5
+    heavy_share: float = 1e-4
 
 
 def hashed_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,6 +168,23 @@ def with_key(docs: DataFrame) -> DataFrame:
     return map_append(docs, lambda batch: [_text_key(batch.column(at))], [T.StructField("_key", T.BinaryType())])
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """(_key, text) of texts with words, the first of each key in an Arrow batch, so that copies seldom leave a task."""
+    bound_batches(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = _text_key(batch.column(0))
+            first: dict[bytes, int] = {}
+            for i, k in enumerate(keys.to_pylist()):
+                if k is not None:
+                    first.setdefault(k, i)
+            at = pa.array(list(first.values()), pa.int64())
+            yield pa.RecordBatch.from_arrays([keys.take(at), batch.column(0).take(at)], names=["_key", "text"])
+
+    return docs.select(F.col("text").cast("string")).mapInArrow(run, "_key binary, text string")
+
+
 def overlap(a: pa.Array, b: pa.Array, size: int) -> np.ndarray:
     """Weighted Jaccard similarity of each pair of texts."""
     n = len(a)
@@ -294,7 +314,7 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
     members = table(rows.join(shared, "band").select("band", "_key", "lead"), "shared-bands")
     stars = table(members.where(F.col("_key") != F.col("lead")).select(F.col("lead").alias("a"), F.col("_key").alias("b")).distinct(), "stars")
     wanted = members.select("_key").distinct()
-    texts = table(with_key(docs.select("text")).join(wanted, "_key", "left_semi").groupBy("_key").agg(F.min("text").alias("text")), "texts")
+    texts = table(distinct_texts(docs).join(wanted, "_key", "left_semi").groupBy("_key").agg(F.min("text").alias("text")), "texts")
     links = table(verified(stars, texts, params), "links")
     label = components(links)
 
@@ -313,12 +333,18 @@ def classes(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFra
     if last.limit(1).count():
         label = components(links.union(last))
 
-    plain = signed.select("doc_id", "_key").join(label.select(F.col("v").alias("_key"), "c"), "_key", "left").withColumn("_c", F.coalesce("c", "_key"))
-    plain = table(plain.select("doc_id", "_key", "_c"), "members")
-    named = plain.where(F.col("_c").isNotNull()).groupBy("_c").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    out = plain.join(named, "_c", "left")
-    alone = F.col("_c").isNull()
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), "_key", F.col("_c").alias("_class"))
+    # rows are counted per text first, texts per class: neither a text's copies nor a class meet in one task
+    worded = signed.where(F.col("_key").isNotNull()).select("doc_id", "_key")
+    per_text = worded.groupBy("_key").agg(F.min("doc_id").alias("_least"), F.count("*").alias("_n"))
+    per_text = table(per_text.join(label.withColumnRenamed("v", "_key"), "_key", "left").select("_key", "_least", "_n", F.coalesce("c", "_key").alias("_class")), "class-texts")
+    per_class = per_text.groupBy("_class").agg(F.min("_least").alias("class_id"), F.sum("_n").alias("class_size"))
+    many = max(1000, int(signed.count() * params.heavy_share))
+    keyed = table(split_join(per_text.drop("_least"), table(per_class, "classes"), "_class", "class_size", many), "class-keys")
+    names = ["doc_id", "class_id", "class_size", "_key", "_class"]
+    out = split_join(worded, keyed, "_key", "_n", many).select(*names)
+    none = F.lit(None).cast("binary")
+    alone = signed.where(F.col("_key").isNull()).select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), none.alias("_key"), none.alias("_class"))
+    return out.unionByName(alone)
 
 
 def deduplicated(docs: DataFrame, params: NearDupParams = NearDupParams()) -> DataFrame:

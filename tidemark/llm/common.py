@@ -128,6 +128,18 @@ def running(sums: DataFrame, groups: Sequence[str], at: str, value: str, name: s
     return runs.join(outer, [*groups, "_run"]).withColumn(name, F.col("_outer") + inner).drop("_run", "_outer")
 
 
+def split_join(big: DataFrame, keyed: DataFrame, key: str, weight: str, many: int) -> DataFrame:
+    """Inner equi-join on ``key`` where a key may hold a third of ``big``'s rows.
+
+    ``keyed`` has one row per key and ``weight``, the number of rows of the key
+    in ``big`` at least. Rows of ``keyed`` heavier than ``many`` are broadcast, of
+    which there are at most the sum of weights / ``many``; the others are shuffled.
+    """
+    heavy, light = keyed.where(F.col(weight) > many), keyed.where(F.col(weight) <= many)
+    rest = big.join(F.broadcast(heavy.select(key)), key, "left_anti").join(light, key)
+    return big.join(F.broadcast(heavy), key).unionByName(rest)
+
+
 def salted_join(big: DataFrame, keyed: DataFrame, key: str, weight: str, per: int, how: str = "inner") -> DataFrame:
     """Equi-join on ``key`` where a key may hold a third of ``big``'s rows.
 
