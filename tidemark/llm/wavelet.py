@@ -2,13 +2,18 @@
 
 A shard file holds consecutive documents: their ids and lengths, the sorted
 alphabet of the shard and bit-planes of the symbols' ranks in it, highest bit
-first, each plane stably parted by the bit above. Rank counts every 512 bits
-let any token be read, counted and located without unpacking the file.
+first, each plane stably parted by the bit above and preceded by the number of
+its ones before every 512 bits. So any token is read, counted and located
+without unpacking the file. Files are written by Spark's own writer, one file a
+folder, whose name tells part, file, documents and tokens; a line feed ends
+each file.
 """
 
 from __future__ import annotations
 
+import json
 import struct
+import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -17,13 +22,13 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bytewords as bw
-from tidemark.llm.common import bound_batches, table
+from tidemark.llm.common import bound_batches, running, shared_dir
 
-MAGIC = b"TMWM0001"
+MAGIC = b"TMWM0002"
 HEAD = struct.Struct("<8sQQIIQ")  # magic, tokens, documents, planes, alphabet, spare
 BLOCK = 512
 
@@ -33,14 +38,16 @@ class TokenParams:
     """tokenizer: file of the tokenizers library; end_id closes each document.
 
     shard_tokens: a file is closed once it holds as many. docs_per_part: rows
-    that one sorted partition is meant for. cache_words: words whose ids a
-    worker remembers.
+    that one sorted partition is meant for; equal ids are parted by the first
+    range_chars characters of their texts. cache_words: words whose ids a worker
+    remembers.
     """
 
     tokenizer: str
     end_id: int = 1
     shard_tokens: int = 2 << 20
     docs_per_part: int = 8192
+    range_chars: int = 64
     cache_words: int = 600_000
 
 
@@ -81,20 +88,22 @@ class WaveletMatrix:
 
     def to_bytes(self) -> bytes:
         parts = [self.alphabet.astype("<u4").tobytes()]
-        for plane, zero in zip(self.planes, self.zeros, strict=True):
-            parts += [struct.pack("<Q", zero), plane.tobytes()]
+        for plane, zero, ranks in zip(self.planes, self.zeros, self.ranks, strict=True):
+            parts += [struct.pack("<Q", zero), ranks.astype("<u4").tobytes(), plane.tobytes()]
         return b"".join(parts)
 
     @classmethod
     def from_bytes(cls, n: int, bits: int, letters: int, data: memoryview) -> WaveletMatrix:
         alphabet = np.frombuffer(data, "<u4", letters)
-        at, size = 4 * letters, -(-n // BLOCK) * (BLOCK // 8)
-        planes, zeros = [], []
+        at, blocks = 4 * letters, -(-n // BLOCK)
+        planes, zeros, ranks = [], [], []
         for _ in range(bits):
             zeros.append(struct.unpack_from("<Q", data, at)[0])
-            planes.append(np.frombuffer(data, np.uint8, size, at + 8))
-            at += 8 + size
-        return cls(n, alphabet, planes, zeros, [_block_ranks(p) for p in planes])
+            ranks.append(np.frombuffer(data, "<u4", blocks + 1, at + 8))
+            at += 8 + 4 * (blocks + 1)
+            planes.append(np.frombuffer(data, np.uint8, blocks * (BLOCK // 8), at))
+            at += blocks * (BLOCK // 8)
+        return cls(n, alphabet, planes, zeros, ranks)
 
     def _ones(self, level: int, i: int) -> int:
         """Ones among the first i bits of a plane."""
@@ -158,7 +167,7 @@ class WaveletMatrix:
 
     def _find(self, level: int, bit: int, k: int) -> int:
         """Position of the k-th bit of a kind in a plane, by its rank blocks."""
-        ones = self.ranks[level]
+        ones = self.ranks[level].astype(np.int64)
         kind = ones if bit else np.arange(len(ones), dtype=np.int64) * BLOCK - ones
         block = int(np.searchsorted(kind, k, "right")) - 1
         at = block * (BLOCK // 8)
@@ -167,7 +176,18 @@ class WaveletMatrix:
 
     def locate(self, token: int) -> np.ndarray:
         """All positions of a token, ascending."""
-        return np.array([self.select(token, k) for k in range(self.count(token))], np.int64)
+        code, n = self._code(token), self.count(token)
+        if code is None or n < 64:
+            return np.array([self.select(token, k) for k in range(n)], np.int64)
+        bits = [code >> (len(self.planes) - 1 - level) & 1 for level in range(len(self.planes))]
+        a = 0
+        for level, bit in enumerate(bits):
+            a = self._step(level, bit, a)
+        at = a + np.arange(n)
+        for level in range(len(bits) - 1, -1, -1):
+            plane = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
+            at = np.flatnonzero(plane == bits[level])[at - self.zeros[level] * bits[level]]
+        return at
 
     def decode(self) -> np.ndarray:
         """All tokens, plane by plane from the last."""
@@ -190,6 +210,8 @@ def _block_ranks(plane: np.ndarray) -> np.ndarray:
 
 def pack(doc_ids: np.ndarray, known: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> bytes:
     """Image of a shard file; ``known`` is false where a document's id is null."""
+    if len(ids) >= 1 << 32:
+        raise ValueError("too many tokens in a shard")
     matrix = WaveletMatrix.build(ids)
     head = HEAD.pack(MAGIC, len(ids), len(sizes), len(matrix.planes), len(matrix.alphabet), 0)
     return b"".join([head, doc_ids.astype("<i8").tobytes(), known.astype(np.uint8).tobytes(), sizes.astype("<i8").tobytes(), matrix.to_bytes()])
@@ -201,6 +223,8 @@ def unpack(data: bytes | memoryview) -> tuple[np.ndarray, np.ndarray, np.ndarray
     magic, n, docs, bits, letters, _ = HEAD.unpack_from(view)
     if magic != MAGIC:
         raise ValueError("not a token shard")
+    if n >= 1 << 32:
+        raise ValueError("too many tokens in a shard")
     at = HEAD.size
     doc_ids = np.frombuffer(view, "<i8", docs, at)
     known = np.frombuffer(view, np.uint8, docs, at + 8 * docs).astype(bool)
@@ -226,9 +250,34 @@ def _byte_kinds() -> np.ndarray:
     return kind
 
 
+# How the vocabulary file that the quick way of encoding is made for normalises and cuts texts.
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+CUTTER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def cuts_as_known(path: str) -> bool:
+    """Whether a tokenizer's file has the rules that :class:`Encoder` can do without the library."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    # of these signs only "<|" may begin an added token
+    plain = all(t["content"].startswith("<|") and not (t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]) for t in rules["added_tokens"])
+    model = rules["model"]
+    whole = model["type"] == "BPE" and not (model["dropout"] or model["unk_token"] or model["continuing_subword_prefix"] or model["byte_fallback"])
+    return plain and whole and rules["normalizer"] == NORMALIZER and rules["pre_tokenizer"] == CUTTER and rules["post_processor"] is None
+
+
 class Encoder:
     """Tokenizer with a memory of words and their parts.
 
+    This holds for files with the rules above (:func:`cuts_as_known`); with any
+    other file each text goes through the library as a whole.
+
     The tokenizer drops white space and never joins across it, so the ids of a
     text are those of its words in turn. A word of plain signs (ASCII but for
     apostrophes and control characters, and Latin letters up to U+00FF) is cut
@@ -242,7 +291,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok, self.limit = Tokenizer.from_file(path), limit
-        self.model = self.tok.model
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        self.model, self.quick = self.tok.model, cuts_as_known(path)
         self.kinds, self.lower = _byte_kinds(), bw.lower_table()
         self.letters = dict(enumerate(_byte_letters()))
         self.clear()
@@ -294,6 +345,11 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by ``end_id``, and their number in each."""
+        if not self.quick:
+            raw = data.tobytes()
+            texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            ids = [[*e.ids, end_id] for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+            return np.array([i for of in ids for i in of], np.uint32), np.array([len(of) for of in ids], np.int64)
         if self.count > self.limit:
             self.clear()
         low, starts, ends, whole, before = self._parts(data, offsets)
@@ -335,16 +391,20 @@ _FILES = "part int, file int, docs long, tokens long, image binary"
 _DOCS = "part int, file int, nth long, doc_id long, n_tokens long, ids_crc32 long"
 
 
-def write_shards(docs: DataFrame, params: TokenParams) -> DataFrame:
-    """Table of shard files in the shared folder: part, file, docs, tokens, image.
+def write_shards(docs: DataFrame, params: TokenParams, path: str | None = None) -> DataFrame:
+    """Write shard files below ``path``, by default a new folder in the shared one, and return :func:`open_shards` of them.
 
     Documents are put in ranges of doc_id, null ids first, equal ids by text;
     within a range a file is closed at the first document that fills it. Null
-    and empty texts are the end id alone.
+    and empty texts are the end id alone. An empty table gives no files.
     """
-    bound_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bound_batches(spark)
+    path = path or f"{shared_dir(spark)}/token-shards-{uuid.uuid4().hex}"
     parts = max(1, -(-docs.count() // params.docs_per_part))
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    # a prefix orders texts as they are ordered themselves
+    rows = rows.repartitionByRange(parts, "doc_id", F.substring("text", 1, params.range_chars)).sortWithinPartitions("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, file = _encoder(params.tokenizer, params.cache_words), TaskContext.get().partitionId(), 0
@@ -370,7 +430,25 @@ def write_shards(docs: DataFrame, params: TokenParams) -> DataFrame:
         if held:
             yield close()
 
-    return table(rows.mapInArrow(run, _FILES), "tokens")
+    # the text writer puts the bytes of a string as they are, and a line feed after them
+    images = rows.mapInArrow(run, _FILES).withColumn("image", F.col("image").cast("string"))
+    images.write.partitionBy("part", "file", "docs", "tokens").text(path)
+    return open_shards(spark, path)
+
+
+def open_shards(spark: SparkSession, path: str) -> DataFrame:
+    """The shard files below a folder: path, part, file, docs, tokens and content, which is only read where it is used."""
+    files = spark.read.format("binaryFile").load(path)
+    if "part" not in files.columns:  # no file was written
+        return spark.createDataFrame([], "path string, part int, file int, docs long, tokens long, content binary")
+    return files.select("path", *[F.col(c).cast("int").alias(c) for c in ("part", "file")], *[F.col(c).cast("long").alias(c) for c in ("docs", "tokens")], "content")
+
+
+def starts(files: DataFrame) -> DataFrame:
+    """(part, file, base): how many tokens lie before each file."""
+    inner = running(files.select("part", "file", "tokens"), ["part"], "file", "tokens", "_in").drop("tokens")
+    outer = running(files.groupBy("part").agg(F.sum("tokens").alias("_n")), [], "part", "_n", "_out").drop("_n")
+    return inner.join(outer, "part").select("part", "file", (F.col("_in") + F.col("_out")).alias("base"))
 
 
 def read_shards(files: DataFrame) -> DataFrame:
@@ -389,11 +467,39 @@ def read_shards(files: DataFrame) -> DataFrame:
                 arrays = [pa.array(doc_ids, mask=~known) if c is None else pa.array(c) for c in columns]
                 yield pa.RecordBatch.from_arrays(arrays, names=["part", "file", "nth", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = files.select("part", "file", "image").mapInArrow(run, _DOCS)
-    ahead = Window.partitionBy("part").orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
-    zero = F.lit(0).cast("long")
-    inner = files.select("part", "file", F.coalesce(F.sum("tokens").over(ahead), zero).alias("_in"))
-    outer = files.groupBy("part").agg(F.sum("tokens").alias("_n"))
-    outer = outer.select("part", F.coalesce(F.sum("_n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), zero).alias("_out"))
-    base = inner.join(outer, "part").select("part", "file", (F.col("_in") + F.col("_out")).alias("_base"))
-    return rows.join(base, ["part", "file"]).select("doc_id", (F.col("_base") + F.col("nth")).alias("start"), "n_tokens", "ids_crc32")
+    rows = files.select("part", "file", "content").mapInArrow(run, _DOCS)
+    return rows.join(starts(files), ["part", "file"]).select("doc_id", (F.col("base") + F.col("nth")).alias("start"), "n_tokens", "ids_crc32")
+
+
+def _asked(files: DataFrame, answer, schema: str) -> DataFrame:
+    """Rows that ``answer`` (matrix, base) gives as lists of columns for each file; files are not decoded."""
+    bound_batches(files.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for base, image in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                columns = answer(unpack(image.as_buffer())[3], base)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=[f.split()[0] for f in schema.split(", ")])
+
+    return files.join(starts(files), ["part", "file"]).select("base", "content").mapInArrow(run, schema)
+
+
+def token_counts(files: DataFrame, tokens: list[int]) -> DataFrame:
+    """(token, n): how often each of a few tokens occurs in all files, by rank."""
+    rows = _asked(files, lambda m, base: (tokens, [m.count(t) for t in tokens]), "token long, n long")
+    return rows.groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def token_positions(files: DataFrame, token: int) -> DataFrame:
+    """(at): all positions of a token in the sequence of all files, by select."""
+    return _asked(files, lambda m, base: (m.locate(token) + base,), "at long")
+
+
+def tokens_at(files: DataFrame, places: list[int]) -> DataFrame:
+    """(at, token) of a few positions in the sequence of all files, by access; places beyond its end are left out."""
+
+    def answer(m: WaveletMatrix, base: int) -> tuple[list[int], list[int]]:
+        here = [p for p in places if base <= p < base + m.n]
+        return here, [m.access(p - base) for p in here]
+
+    return _asked(files, answer, "at long, token long")
