@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,13 +15,18 @@ from tidemark.llm.common import ascii_lower, let, table
 class UrlParams:
     """lengths: of the n-grams; buckets: that they are hashed in, which bounds
     the model; rounds, rate: of gradient descent over all labelled URLs, with
-    steps that shrink by the root of a bucket's squared gradients so far.
+    steps that shrink by the root of a bucket's squared gradients so far;
+    most_labels: URLs that are learned from, those of least hash; chained,
+    broadcast_rules: see :func:`judge`.
     """
 
     lengths: tuple[int, ...] = (3, 4, 5)
     buckets: int = 8192
     rounds: int = 15
     rate: float = 1.0
+    most_labels: int = 100_000
+    chained: int = 100
+    broadcast_rules: int = 100_000
 
 
 #: (verdict, host, path) of each rule.
@@ -33,15 +39,32 @@ ALLOWED = "library museum school university garden weather news science history
 
 
 def labelled(spark: SparkSession) -> DataFrame:
-    """The small labelled table, built by rule: url, label (1: block); three URLs a word, and names of common syllables."""
+    """The small labelled table, built by rule: url, label (1: block), word; three URLs a word, and names of common syllables.
+
+    No host occurs twice. ``word`` is what a host is about: hosts of a word are
+    held out together, so that a model is judged on words it hasn't seen.
+    """
     forms = ("https://www.{0}.example.com/en/12", "http://{0}-{1}.example.net/de/{1}/345?page=2", "http://m.{1}{0}.example.org/fr/67.html")
     rows = []
     for words, label, extra in ((BLOCKED, 1, ("win", "free", "best", "cheap", "x")), (ALLOWED, 0, ("blog", "city", "open", "our", "old"))):
         for i, w in enumerate(words):
-            rows += [(f.format(w, extra[(i + k) % len(extra)]), label) for k, f in enumerate(forms)]
+            rows += [(f.format(w, extra[(i + k) % len(extra)]), label, w) for k, f in enumerate(forms)]
     names = [a + SYLLABLES[(i + 7 * k) % len(SYLLABLES)] + SYLLABLES[(i * k + 3) % len(SYLLABLES)] for k in (1, 2, 3, 4) for i, a in enumerate(SYLLABLES)]
-    rows += [(forms[i % 3].format(name, "blog"), 0) for i, name in enumerate(names)]
-    return spark.createDataFrame(rows, "url string, label int")
+    rows += [(forms[i % 3].format(name, "blog"), 0, name) for i, name in enumerate(names)]
+    return spark.createDataFrame(rows, "url string, label int, word string")
+
+
+def held_out(labels: DataFrame, params: UrlParams | None = None, folds: int = 4) -> DataFrame:
+    """(label, n, right): how many URLs of each label a model judges rightly that learned from other words, fold by fold."""
+    params = params or UrlParams()
+    fold = F.pmod(F.xxhash64("word", F.lit(17)), F.lit(folds))
+    out = None
+    for k in range(folds):
+        model = train(labels.where(fold != k), params)
+        p = logit(features(host_of(F.col("url")), path_of(F.col("url")), params), *model)
+        part = labels.where(fold == k).select("label", ((p >= 0).cast("int") == F.col("label")).alias("right"))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("label").agg(F.count("*").alias("n"), F.count_if("right").alias("right"))
 
 
 def host_of(url: Column) -> Column:
@@ -81,7 +104,8 @@ def train(labels: DataFrame, params: UrlParams = UrlParams()) -> tuple[list[floa
     An empty table gives zeros.
     """
     x = features(host_of(F.col("url")), path_of(F.col("url")), params)
-    rows = table(labels.where(F.col("label").isNotNull()).select("label", x.alias("x")).coalesce(1), "url-labels")
+    known = labels.where(F.col("label").isNotNull()).select("url", "label").orderBy(F.xxhash64("url", F.lit(23)), "url").limit(params.most_labels)
+    rows = table(known.select("label", x.alias("x")), "url-labels")
     n = max(1, rows.count())
     weights, bias, unit = [0.0] * params.buckets, 0.0, 2.0**40
     squares: dict[int, float] = {}
@@ -100,26 +124,47 @@ def train(labels: DataFrame, params: UrlParams = UrlParams()) -> tuple[list[floa
     return weights, bias
 
 
-def judge(pages: DataFrame, model: tuple[list[float], float], rules: tuple[tuple[str, str, str], ...] = RULES, params: UrlParams = UrlParams(), keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
+def _by_chain(rows: DataFrame, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """Add ``rule`` and ``_v`` by one condition a rule."""
+    rule = verdict = None
+    for says, host, path in sorted(rules, key=lambda r: -len(r[1] + r[2])):
+        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
+        rule = F.when(fits, host + path) if rule is None else rule.when(fits, host + path)
+        verdict = F.when(fits, says) if verdict is None else verdict.when(fits, says)
+    none = F.lit(None).cast("string")
+    return rows.withColumns({"rule": none if rule is None else rule, "_v": none if verdict is None else verdict})
+
+
+def _by_join(rows: DataFrame, rules: DataFrame, few: int) -> DataFrame:
+    """Add ``rule`` and ``_v`` by a join of each host and its parent domains with the rules' hosts."""
+    rows = table(rows.withColumn("_row", F.monotonically_increasing_id()), "url-rows")
+    labels = F.split("host", r"\.")
+    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    held = rules.select(F.col("host").alias("_of"), F.col("path").alias("_begin"), F.col("verdict").alias("_says"), F.col("place").alias("_place"))
+    held = F.broadcast(held) if rules.count() <= few else held
+    spread = rows.select("_row", F.col("path"), F.explode(parents).alias("_of")).where("_of <> ''")
+    fits = spread.join(held, "_of").where(F.expr("startswith(path, _begin)"))
+    text = F.concat("_of", "_begin")
+    best = fits.groupBy("_row").agg(F.max_by(F.struct(text.alias("rule"), F.col("_says").alias("_v")), F.struct(F.length(text), -F.col("_place"))).alias("_b"))
+    return rows.join(best, "_row", "left").select(*[c for c in rows.columns if c != "_row"], "_b.rule", "_b._v")
+
+
+def judge(pages: DataFrame, model: tuple[list[float], float], rules: Sequence[tuple[str, str, str]] = RULES, params: UrlParams = UrlParams(), keep: tuple[str, ...] = ("page_id",)) -> DataFrame:
     """Columns ``keep`` of each row with host, path, rule, verdict and p_block.
 
     The longest rule whose host is the URL's or a parent domain and whose path
     begins the URL's decides; equally long ones in the order given. Otherwise
     the model blocks at a chance of one half. A null URL, or one without
     ``://``, has neither host nor path and is judged by the bias alone.
-    Repeated rows get a result each. Rules are tried one by one; more than 1,000
-    are refused.
+    Repeated rows get a result each. Up to ``chained`` rules are tried one by
+    one, more are joined, by broadcast up to ``broadcast_rules`` of them.
     """
-    if len(rules) > 1000:
-        raise ValueError("too many rules for a chain of conditions")
     names = [c for c in keep if c not in ("host", "path", "rule", "verdict", "p_block")]
     rows = pages.select(*names, host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    rule = verdict = None
-    for says, host, path in sorted(rules, key=lambda r: -len(r[1] + r[2])):
-        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
-        rule = F.when(fits, host + path) if rule is None else rule.when(fits, host + path)
-        verdict = F.when(fits, says) if verdict is None else verdict.when(fits, says)
-    none = F.lit(None).cast("string")
-    rows = rows.withColumn("rule", none if rule is None else rule).withColumn("_v", none if verdict is None else verdict)
+    if len(rules) <= params.chained:
+        rows = _by_chain(rows, rules)
+    else:
+        made = rows.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(rules)], "verdict string, host string, path string, place long")
+        rows = _by_join(rows, made, params.broadcast_rules)
     rows = rows.withColumn("p_block", 1 / (1 + F.exp(-logit(features(F.col("host"), F.col("path"), params), *model))))
     return rows.select(*names, "host", "path", "rule", F.coalesce("_v", F.when(F.col("p_block") >= 0.5, "block").otherwise("allow")).alias("verdict"), "p_block")
