@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import entity_id
+from tidemark.lineage import discard, table
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import closed_map, remapped
 
@@ -26,12 +27,17 @@ TRACKED = {
 }
 
 
-def promote(kind: str, candidates: DataFrame, links: DataFrame, attributes: Sequence[str], needs: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+#: Columns of registrations that refer to canonicals of a kind.
+REFERENCES = {"participant": "canonical_primary_participant_id", "event": "canonical_event_id", "yacht": "canonical_yacht_id"}
+
+
+def promote(kind: str, candidates: DataFrame, links: DataFrame, attributes: Sequence[str], needs: dict[str, DataFrame] | None = None, optional: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Promote candidates in auto_promote that aren't yet: canonicals, links, candidates and audit rows.
 
     A link that exists gives the canonical id, else a deterministic new one.
     ``needs`` maps a foreign key column to the links of its kind: such rows wait
-    until what they refer to is promoted, and refer to its canonical.
+    until what they refer to is promoted, and refer to its canonical; references
+    in ``optional`` columns stay empty instead.
     """
     ready = candidates.where((F.col("resolution_state") == "auto_promote") & ~F.coalesce("is_promoted", F.lit(False)))
     known = links.select(F.col("candidate_id").alias("id"), F.col("canonical_id").alias("_known"))
@@ -39,7 +45,9 @@ def promote(kind: str, candidates: DataFrame, links: DataFrame, attributes: Sequ
     extra = []
     for column, of in (needs or {}).items():
         to = of.select(F.col("candidate_id").alias(column), F.col("canonical_id").alias(f"canonical_{column}"))
-        ready = ready.join(to, column, "left").where(F.col(column).isNull() | F.col(f"canonical_{column}").isNotNull())
+        ready = ready.join(to, column, "left")
+        if column not in optional:
+            ready = ready.where(F.col(column).isNull() | F.col(f"canonical_{column}").isNotNull())
         extra.append(f"canonical_{column}")
     done = ready.select("id", F.col("canonical_id").alias("_new"))
     updated = candidates.join(done, "id", "left").withColumns({"is_promoted": F.coalesce("is_promoted", F.lit(False)) | F.col("_new").isNotNull(), "promoted_canonical_id": F.coalesce("_new", "promoted_canonical_id")})
@@ -80,39 +88,78 @@ def manual(candidates: DataFrame, decisions: DataFrame) -> DataFrame:
     return j.select("candidate_id", "action", "seq", outcome.alias("outcome"), state.alias("new_state"), F.coalesce((outcome == "applied") & (F.col("action") == "promote") & (F.col("resolution_state") == "reject"), F.lit(False)).alias("through_review"))
 
 
+def relinked(candidates: DataFrame, links: DataFrame, canonicals: DataFrame | None) -> DataFrame:
+    """Candidates that are marked as promoted but whose canonical is gone, or that have no link, are open again."""
+    live = links if canonicals is None else links.join(canonicals.select(F.col("id").alias("canonical_id")), "canonical_id", "left_semi")
+    held = live.select(F.col("candidate_id").alias("id"), F.lit(True).alias("_held")).distinct()
+    stale = F.coalesce("is_promoted", F.lit(False)) & F.col("_held").isNull()
+    out = candidates.join(held, "id", "left")
+    return out.withColumns({"promoted_canonical_id": F.when(stale, F.lit(None)).otherwise(F.col("promoted_canonical_id")), "is_promoted": F.when(stale, False).otherwise(F.col("is_promoted"))}).select(*candidates.columns)
+
+
 def checked_merges(decisions: DataFrame, canonicals: DataFrame, links: DataFrame) -> DataFrame:
-    """Validate merge decisions (keep_id, merge_id, seq): status is applied or why not."""
+    """Status of merge decisions (keep_id, merge_id, seq) taken one after another: applied, or why not.
+
+    Both ids must exist, which an id that an earlier applied decision merged away
+    no longer does, and the merged one must have candidates by then: its own or
+    some merged into it before. Invalid decisions change nothing. Who is merged
+    away when is guessed, and corrected until the guess explains itself; each
+    round settles at least the earliest decision that is still open.
+    """
     ids = canonicals.select("id").distinct()
-    d = decisions.join(ids.select(F.col("id").alias("keep_id"), F.lit(True).alias("_k")), "keep_id", "left").join(ids.select(F.col("id").alias("merge_id"), F.lit(True).alias("_m")), "merge_id", "left")
-    d = d.join(links.groupBy(F.col("canonical_id").alias("merge_id")).agg(F.count("*").alias("_l")), "merge_id", "left")
-    first = F.row_number().over(Window.partitionBy("merge_id").orderBy("seq"))
-    status = (
-        F.when(F.col("_k").isNull(), "invalid: keep_id not found").when(F.col("_m").isNull(), "invalid: merge_id not found").when(F.col("keep_id") == F.col("merge_id"), "invalid: same id").when(F.col("_l").isNull(), "invalid: no linked candidates")
-        .when(first > 1, "invalid: merged before").otherwise("applied")
-    )
-    return d.select("keep_id", "merge_id", "seq", status.alias("status"))
+    owned = links.select(F.col("canonical_id").alias("merge_id")).distinct()
+    d = decisions.select("keep_id", "merge_id", "seq")
+    d = d.join(ids.select(F.col("id").alias("keep_id"), F.lit(True).alias("_k")), "keep_id", "left")
+    d = d.join(ids.select(F.col("id").alias("merge_id"), F.lit(True).alias("_m")), "merge_id", "left")
+    d = d.join(owned.withColumn("_l", F.lit(True)), "merge_id", "left")
+    known = table(d.withColumn("applied", F.col("_k").isNotNull() & F.col("_m").isNotNull() & (F.col("keep_id") != F.col("merge_id"))), "decisions")
+    while True:
+        done = known.where("applied")
+        gone = done.groupBy(F.col("merge_id").alias("_id")).agg(F.min("seq").alias("_gone"))
+        given = done.groupBy(F.col("keep_id").alias("_id")).agg(F.min("seq").alias("_given"))
+        j = known.withColumnRenamed("applied", "_was")
+        j = j.join(gone.select(F.col("_id").alias("keep_id"), F.col("_gone").alias("_kgone")), "keep_id", "left")
+        j = j.join(gone.select(F.col("_id").alias("merge_id"), F.col("_gone").alias("_mgone")), "merge_id", "left")
+        j = j.join(given.select(F.col("_id").alias("merge_id"), "_given"), "merge_id", "left")
+        late = lambda c: F.coalesce(F.col(c) < F.col("seq"), F.lit(False))
+        status = (
+            F.when(F.col("_k").isNull() | late("_kgone"), "invalid: keep_id not found")
+            .when(F.col("_m").isNull() | late("_mgone"), "invalid: merge_id not found")
+            .when(F.col("keep_id") == F.col("merge_id"), "invalid: same id")
+            .when(F.col("_l").isNull() & ~late("_given"), "invalid: no linked candidates")
+            .otherwise("applied")
+        )
+        new = table(j.select("keep_id", "merge_id", "seq", "_k", "_m", "_l", (status == "applied").alias("applied"), status.alias("status"), "_was"), "decisions")
+        discard(known)
+        if not new.where("applied <> _was").limit(1).count():
+            return new.select("keep_id", "merge_id", "seq", "status")
+        known = new.drop("status", "_was")
+        known._tidemark_path = new._tidemark_path
 
 
 def merged(kind: str, canonicals: DataFrame, links: DataFrame, candidates: DataFrame, registrations: DataFrame, decisions: DataFrame) -> dict[str, DataFrame]:
     """Apply valid merges, chains included: the kept canonical's null attributes are filled in merge order.
 
-    Links, candidates and the registrations' references move to the kept id,
-    the merged canonicals go, and actions on their candidates are to be dismissed.
+    What was merged into a canonical before it was merged itself counts after its
+    own values. Links, candidates and the registrations' references move to the
+    kept id, the merged canonicals go, actions on their candidates are to be
+    dismissed, and ``audit`` tells of each decision.
     """
-    ok = checked_merges(decisions, canonicals, links).where("status = 'applied'")
-    ids = closed_map(ok.select(F.col("merge_id").alias("old_id"), F.col("keep_id").alias("new_id")))
+    checked = checked_merges(decisions, canonicals, links)
+    ok = checked.where("status = 'applied'")
+    ids = closed_map(ok.select(F.col("merge_id").alias("old_id"), F.col("keep_id").alias("new_id"), F.col("seq").cast("long").alias("seq")), "seq")
     fields = [c for c in canonicals.columns if c != "id"]
-    order = ok.select(F.col("merge_id").alias("id"), F.col("seq").alias("_seq"))
-    to = ids.select(F.col("old_id").alias("id"), F.col("new_id").alias("_to"))
-    ranked = canonicals.join(to, "id", "left").join(order, "id", "left").withColumn("_at", F.coalesce("_seq", F.lit(-1)))
+    to = ids.select(F.col("old_id").alias("id"), F.col("new_id").alias("_to"), "path")
+    ranked = canonicals.join(to, "id", "left").withColumn("_at", F.coalesce("path", F.array().cast("array<bigint>")))
     kept = ranked.groupBy(F.coalesce("_to", "id").alias("id")).agg(*[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_at"))).alias(c) for c in fields])
-    columns = {"participant": "canonical_primary_participant_id", "event": "canonical_event_id", "yacht": "canonical_yacht_id"}
+    pairs = ids.select("old_id", "new_id")
     return {
         "canonicals": kept.select(*canonicals.columns),
-        "links": remapped(links, ids, ["canonical_id"]),
-        "candidates": remapped(candidates, ids, ["promoted_canonical_id"]),
-        "registrations": remapped(registrations, ids, [columns[kind]]) if kind in columns else registrations,
-        "dismissed": links.join(ids.select(F.col("old_id").alias("canonical_id")), "canonical_id", "left_semi").select("candidate_id"),
+        "links": remapped(links, pairs, ["canonical_id"]),
+        "candidates": remapped(candidates, pairs, ["promoted_canonical_id"]),
+        "registrations": remapped(registrations, pairs, [REFERENCES[kind]]) if kind in REFERENCES else registrations,
+        "dismissed": links.join(pairs.select(F.col("old_id").alias("canonical_id")), "canonical_id", "left_semi").select("candidate_id"),
+        "audit": checked.select(F.lit(kind).alias("entity_type"), F.lit("merge").alias("action_type"), F.col("merge_id").alias("entity_id"), F.col("keep_id").alias("target_id"), "seq", "status"),
     }
 
 
@@ -133,19 +180,50 @@ def detached(kind: str, canonicals: DataFrame, links: DataFrame, candidates: Dat
     if delete:
         lone = links.join(gone, "candidate_id", "left_semi").select("canonical_id").distinct().join(left.select("canonical_id"), "canonical_id", "left_anti")
         out["canonicals"] = canonicals.join(lone.select(F.col("canonical_id").alias("id")), "id", "left_anti")
-        columns = {"participant": "canonical_primary_participant_id", "event": "canonical_event_id", "yacht": "canonical_yacht_id"}
-        if kind in columns:
-            out["registrations"] = remapped(registrations, lone.select(F.col("canonical_id").alias("old_id"), F.lit(None).cast("string").alias("new_id")), [columns[kind]])
+        if kind in REFERENCES:
+            none = lone.select(F.col("canonical_id").alias("old_id"), F.lit(None).cast("string").alias("new_id"))
+            out["registrations"] = remapped(registrations, none, [REFERENCES[kind]])
+        out["dismissed"] = links.join(gone, "candidate_id", "left_semi").select("candidate_id")
+    known = links.join(gone, "candidate_id").select("candidate_id", F.min("canonical_id").over(Window.partitionBy("candidate_id")).alias("target_id")).distinct()
+    action = "demote" if delete else "unlink"
+    status = F.when(F.col("target_id").isNull(), "invalid: not linked").otherwise("applied")
+    out["audit"] = gone.join(known, "candidate_id", "left").select(
+        F.lit(kind).alias("entity_type"), F.lit(action).alias("action_type"), F.col("candidate_id").alias("entity_id"), "target_id", F.lit(None).cast("long").alias("seq"), status.alias("status")
+    )
     return out
 
 
+def dismissed(actions: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Actions with the open ones on the given candidates (candidate_id) dismissed."""
+    gone = candidates.select(F.col("candidate_id").alias("target_entity_id"), F.lit(True).alias("_hit")).distinct()
+    status = F.when(F.col("_hit") & (F.col("status") == "open"), "dismissed").otherwise(F.col("status"))
+    return actions.join(gone, "target_entity_id", "left").withColumn("status", status).select(*actions.columns)
+
+
+def dispatched(rows: DataFrame, needs: Sequence[str], kind_column: str) -> DataFrame:
+    """Decision rows with trimmed fields, the kind in lower case, their order and why they are invalid, if they are."""
+    clean = {c: F.nullif(F.trim(F.col(c).cast("string")), F.lit("")) for c in rows.columns if not c.startswith("_")}
+    d = rows.withColumns(clean).withColumn(kind_column, F.lower(kind_column))
+    bad = [F.when(F.col(c).isNull(), f"invalid: missing {c}") for c in needs]
+    return d.withColumn("invalid", F.coalesce(*bad, F.when(~F.col(kind_column).isin(*TRACKED), F.concat(F.lit("invalid: unknown kind "), kind_column))))
+
+
 def split(kind: str, canonicals: DataFrame, links: DataFrame, decisions: DataFrame) -> dict[str, DataFrame]:
-    """Move candidates (old_id, candidate_id) to a clone of their canonical, one clone per old id."""
+    """Move candidates (old_id, candidate_id) to a clone of their canonical, one clone per old id; ``audit`` tells of each decision."""
     real = decisions.join(links.select("candidate_id", F.col("canonical_id").alias("old_id")), ["candidate_id", "old_id"], "left_semi")
     made = real.groupBy("old_id").agg(F.array_join(F.sort_array(F.collect_set("candidate_id")), ",").alias("_c")).select("old_id", entity_id(f"split_{kind}", F.col("old_id"), F.col("_c")).alias("new_id"))
     clones = canonicals.join(made, canonicals["id"] == made["old_id"]).select(F.col("new_id").alias("id"), *[c for c in canonicals.columns if c != "id"])
     moves = real.join(made, "old_id").select("candidate_id", F.col("new_id").alias("_new"))
-    return {"canonicals": canonicals.unionByName(clones), "links": links.join(moves, "candidate_id", "left").select("candidate_id", F.coalesce("_new", "canonical_id").alias("canonical_id"))}
+    told = decisions.select("old_id", "candidate_id").distinct().join(moves, "candidate_id", "left")
+    status = F.when(F.col("_new").isNull(), "invalid: not linked").otherwise("applied")
+    return {
+        "canonicals": canonicals.unionByName(clones),
+        "links": links.join(moves, "candidate_id", "left").select("candidate_id", F.coalesce("_new", "canonical_id").alias("canonical_id")),
+        "moved": moves.select("candidate_id", F.col("_new").alias("canonical_id")),
+        "audit": told.select(
+            F.lit(kind).alias("entity_type"), F.lit("split").alias("action_type"), F.col("candidate_id").alias("entity_id"), F.coalesce("_new", "old_id").alias("target_id"), F.lit(None).cast("long").alias("seq"), status.alias("status")
+        ),
+    }
 
 
 def coverage(kind: str, candidates: DataFrame, links: DataFrame, unresolved: int = 0, limit: float = 90.0) -> DataFrame:

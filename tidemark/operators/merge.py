@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.lineage import discard, table
+
 
 def first_values(batch: DataFrame, keys: Sequence[str], fields: Sequence[str], seq: str) -> DataFrame:
     """Per key the first non-null value of each field in the order of ``seq``."""
@@ -75,18 +77,27 @@ def remapped(df: DataFrame, mapping: DataFrame, columns: Sequence[str], old: str
     return df
 
 
-def closed_map(mapping: DataFrame, rounds: int = 20) -> DataFrame:
-    """Follow chains of an id map (old_id, new_id) to their ends; a cycle or a longer chain than 2^rounds is refused."""
-    held = None
-    for _ in range(rounds):
-        step = mapping.alias("a").join(mapping.select(F.col("old_id").alias("new_id"), F.col("new_id").alias("_next")), "new_id", "left")
-        step = step.select("old_id", F.coalesce("_next", "new_id").alias("new_id"), F.col("_next").isNotNull().alias("_more")).cache()
-        more = step.where("_more").limit(1).count()
-        if held is not None:
-            held.unpersist()
-        held, mapping = step, step.drop("_more")
-        if not more:
-            return mapping
+def closed_map(mapping: DataFrame, order: str | None = None) -> DataFrame:
+    """Follow chains of an id map (old_id, new_id) to their ends; a cycle is refused.
+
+    With ``order``, a column of the map, the result has ``path`` too: the values
+    of that column from the end of a chain back to the id. Each round looks the
+    map up in itself and is written and read back, so its plan stays small and
+    rounds grow with the logarithm of the longest chain.
+    """
+    step = F.array(F.col(order)) if order else F.array().cast("array<int>")
+    held = table(mapping.select("old_id", "new_id", step.alias("path")).distinct(), "id-map")
+    n = held.count()
+    for _ in range(n.bit_length() + 1):
+        following = held.select(F.col("old_id").alias("new_id"), F.col("new_id").alias("_next"), F.col("path").alias("_rest"))
+        far = held.join(following, "new_id", "left")
+        path = F.concat(F.coalesce("_rest", F.array().cast(held.schema["path"].dataType)), "path")
+        longer = table(far.select("old_id", F.coalesce("_next", "new_id").alias("new_id"), path.alias("path"), F.col("_next").isNotNull().alias("_more")), "id-map")
+        discard(held)
+        held = longer.drop("_more")
+        held._tidemark_path = longer._tidemark_path
+        if not longer.where("_more").limit(1).count():
+            return held if order else held.drop("path")
     raise ValueError("id map holds a cycle")
 
 

@@ -1,7 +1,8 @@
-"""Versioned tables: each version is a folder of Parquet files, and a pointer names the current one.
+"""Versioned tables: each version is a folder of Parquet files, and a numbered pointer names the current ones.
 
-A run writes new versions first and publishes them together at its end, so a
-failed or dry run leaves readers where they were.
+A run writes new versions first and publishes them together at its end by one
+rename that adds a pointer; readers take the highest number. So a failed or dry
+run leaves readers where they were, and no reader ever finds the store empty.
 """
 
 from __future__ import annotations
@@ -20,21 +21,23 @@ class Store:
         self.spark, self.root = spark, root.rstrip("/")
         self.pending: dict[str, str] = {}
 
+    def _versions(self) -> list[str]:
+        """Names of the pointers, the latest last."""
+        p, fs = self._fs(f"{self.root}/_pointers")
+        if not fs.exists(p):
+            return []
+        return sorted(f.getPath().getName() for f in fs.listStatus(p))
+
     def _pointer(self) -> dict[str, str]:
-        path = f"{self.root}/_current"
-        if not self._exists(path):
+        names = self._versions()
+        if not names:
             return {}
-        rows = self.spark.read.text(path).collect()
-        return json.loads(rows[0].value) if rows else {}
+        return json.loads(self.spark.read.text(f"{self.root}/_pointers/{names[-1]}").first().value)
 
     def _fs(self, path: str):
         p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    def _exists(self, path: str) -> bool:
-        p, fs = self._fs(path)
-        return fs.exists(p)
-
     def has(self, name: str) -> bool:
         return name in self._pointer()
 
@@ -50,6 +53,13 @@ class Store:
         self.pending[name] = version
         return self.spark.read.parquet(path)
 
+    def unstage(self, name: str) -> None:
+        """Drop a staged version."""
+        version = self.pending.pop(name, None)
+        if version:
+            p, fs = self._fs(f"{self.root}/{name}/{version}")
+            fs.delete(p, True)
+
     def publish(self, dry_run: bool = False) -> dict[str, str]:
         """Make all staged versions current at once; a dry run drops them."""
         staged, self.pending = self.pending, {}
@@ -58,10 +68,15 @@ class Store:
                 p, fs = self._fs(f"{self.root}/{name}/{version}")
                 fs.delete(p, True)
             return {}
+        names = self._versions()
         now = json.dumps(self._pointer() | staged)
         new = f"{self.root}/_next-{uuid.uuid4().hex}"
         self.spark.range(1).select(F.lit(now).alias("value")).coalesce(1).write.text(new)
-        current, fs = self._fs(f"{self.root}/_current")
-        fs.delete(current, True)
-        fs.rename(self._fs(new)[0], current)
+        folder, fs = self._fs(f"{self.root}/_pointers")
+        fs.mkdirs(folder)
+        number = int(names[-1]) + 1 if names else 0
+        target = self._fs(f"{self.root}/_pointers/{number:012d}")[0]
+        # one rename makes the pointer whole; what readers saw before stays until then, and after a crash
+        if fs.exists(target) or not fs.rename(self._fs(new)[0], target):
+            raise RuntimeError("another run has published meanwhile")
         return staged
