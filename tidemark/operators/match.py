@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.lineage import discard, table
+
 
 @dataclass(frozen=True)
 class Tier:
@@ -61,6 +63,88 @@ def with_new_ids(matched: DataFrame, kind: str, group: Column) -> DataFrame:
     return matched.withColumns({"entity_id": F.when(fresh, entity_id(kind, group)).otherwise(F.col("matched_id")), "is_new": fresh})
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """A tier of :func:`in_order`: look the column's value up among the keys of a space.
+
+    many: what several entities mean, as for :class:`Tier`.
+    """
+
+    name: str
+    space: str
+    column: str
+    many: str = "reject"
+
+
+@dataclass(frozen=True)
+class Offer:
+    """Keys that a row gives its entity: of the column, in the space; ``always``, or only if the row founds the entity."""
+
+    space: str
+    column: str
+    always: bool = False
+
+
+def in_order(batch: DataFrame, seq: str, lookups: Sequence[Lookup], offers: Sequence[Offer], known: DataFrame, new_id: Column, group: str | None = None) -> DataFrame:
+    """Resolve the rows of a batch as if one after another in the order of ``seq``: a row sees the entities of earlier rows.
+
+    ``known`` has (space, key, entity). Adds entity_id, is_new, match_tier and
+    match_status (matched, none, ambiguous). A row stops at the first tier whose
+    key is known by then; a row that finds nothing founds ``new_id``. Ambiguous
+    rows, and with ``group`` all rows of their group, have no entity and offer
+    nothing. Of several known entities ``least`` takes the lowest id, of those
+    founded in the batch the earliest.
+
+    Assignments are guessed, and each round derives them anew from those of
+    earlier rows. A round settles at least the first row that isn't settled, in
+    practice as many rounds as the longest chain of rows that meet through
+    different keys; the result is that of the loop. A key keeps its two earliest
+    entities only, since a third changes nothing.
+    """
+    rows = batch.select(F.col(seq).cast("long").alias("_q"), new_id.alias("_own"), (F.col(group) if group else F.col(seq)).alias("_g"), *{x.column for x in (*lookups, *offers)})
+    rows = table(rows, "match-rows")
+
+    def spread(of: Sequence[Lookup] | Sequence[Offer], mark) -> DataFrame:
+        parts = [F.struct(F.lit(x.space).alias("s"), F.col(x.column).cast("string").alias("k"), mark(i, x).alias("m")) for i, x in enumerate(of)]
+        return rows.select("_q", F.inline(F.array(*parts))).where("k is not null")
+
+    asks = table(spread(lookups, lambda i, x: F.lit(i)), "match-asks")
+    given = table(spread(offers, lambda i, x: F.lit(x.always)).distinct(), "match-offers")
+    held = known.select(F.col("space").alias("s"), F.col("key").cast("string").alias("k"), F.col("entity").alias("e"), F.lit(-1).cast("long").alias("f")).where("k is not null")
+    strict = [i for i, x in enumerate(lookups) if x.many == "reject"]
+    state = table(rows.select("_q", F.col("_own").alias("e"), F.lit(True).alias("new"), F.lit(None).cast("int").alias("t")), "match-state")
+    while True:
+        made = given.join(state.where("e is not null"), "_q").where("m or new").select("s", "k", "e", F.col("_q").alias("f"))
+        pool = made.unionByName(held).groupBy("s", "k", "e").agg(F.min("f").alias("f"))
+        early = pool.withColumn("r", F.row_number().over(Window.partitionBy("s", "k").orderBy("f", "e"))).where("r <= 2")
+        top = early.groupBy("s", "k").agg(F.min(F.struct("f", "e")).alias("a"), F.max(F.when(F.col("r") == 2, F.col("f"))).alias("z"))
+        hits = asks.join(top, ["s", "k"]).where(F.col("a.f") < F.col("_q"))
+        best = hits.groupBy("_q").agg(F.min(F.struct(F.col("m").alias("t"), F.col("a.e").alias("e"), F.coalesce(F.col("z") < F.col("_q"), F.lit(False)).alias("many"))).alias("b"))
+        found = rows.select("_q", "_g", "_own").join(best, "_q", "left")
+        torn = F.coalesce(F.col("b.many") & F.col("b.t").isin(strict), F.lit(False))
+        found = found.select("_q", "_g", "_own", "b", torn.alias("torn"))
+        if group:
+            bad = found.where("torn").select("_g").distinct().withColumn("bad", F.lit(True))
+            found = found.join(bad, "_g", "left")
+        else:
+            found = found.withColumn("bad", F.col("torn"))
+        out = F.coalesce(F.col("bad"), F.lit(False))
+        none = F.lit(None).cast("string")
+        entity = F.when(out, none).otherwise(F.coalesce("b.e", "_own"))
+        fresh = found.select("_q", entity.alias("e"), (~out & F.col("b").isNull()).alias("new"), F.col("b.t").alias("t"), "torn", out.alias("bad"))
+        before = state.select("_q", F.col("e").alias("_e"), F.col("new").alias("_new"))
+        after = table(fresh.join(before, "_q").withColumn("moved", ~F.col("e").eqNullSafe(F.col("_e")) | (F.col("new") != F.col("_new"))).drop("_e", "_new"), "match-state")
+        discard(state)
+        state = after.drop("moved")
+        state._tidemark_path = after._tidemark_path
+        if not after.where("moved").limit(1).count():
+            break
+    tier = F.get(F.array(*[F.lit(x.name) for x in lookups]), F.col("t"))
+    status = F.when(F.col("torn") | F.col("bad"), "ambiguous").when(F.col("new"), "none").otherwise("matched")
+    result = state.select(F.col("_q").alias("_mq"), F.col("e").alias("entity_id"), F.col("new").alias("is_new"), tier.alias("match_tier"), status.alias("match_status"))
+    return batch.withColumn("_mq", F.col(seq).cast("long")).join(result, "_mq").drop("_mq")
+
+
 def strict_identity(batch: DataFrame, people: DataFrame, emails: DataFrame, allow_missing_name: bool = False) -> DataFrame:
     """Identity policy of the audience feed: a unique e-mail must agree with the name, and phone and address mustn't conflict.
 

@@ -1,8 +1,6 @@
-"""From feed rows to staged rows, resolved people and boats, and rows to insert.
+"""From feed rows to staged rows: keys and parts by one projection, and the first reason to reject a row.
 
-A feed is staged by one projection with a reject reason, resolved by its match
-cascade, and split into inserts; rows of one batch that describe the same new
-entity share a deterministic id.
+:mod:`tidemark.plans.operational` takes the accepted rows from there.
 """
 
 from __future__ import annotations
@@ -13,28 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, keys, text, urls
-from tidemark.operators import gates, latest, match
+from tidemark.operators import gates, latest
 from tidemark.sources import feeds
 
-#: Tiers by feed: key column, and whether several people reject the row or the lowest id is taken.
-PEOPLE: dict[str, tuple[tuple[str, str], ...]] = {
-    "owners": (("email", "reject"), ("home_phone", "reject"), ("cell_phone", "reject"), ("name_key", "least")),
-    "public_entries": (("name_key", "least"),),
-    "waivers": (("name_key", "least"),),
-    "base_owners": (("email", "reject"), ("phone", "reject"), ("name_key", "reject")),
-    "base_participants": (("email", "reject"), ("phone", "reject"), ("name_key", "reject")),
-    "race_entries": (("xref_key", "reject"), ("name_key", "reject")),
-    "directory": (("email", "least"), ("phone", "least"), ("name_key", "least")),
-}
-#: Tiers of boats by feed, each a tuple of key columns.
-BOATS: dict[str, tuple[tuple[tuple[str, ...], str], ...]] = {
-    "owners": ((("yacht_slug", "length_feet"), "least"), (("yacht_slug",), "least")),
-    "public_entries": ((("yacht_slug", "sail_slug"), "reject"),),
-    "base_yachts": ((("sail_slug",), "reject"), (("yacht_slug", "length_feet"), "reject"), (("yacht_slug",), "reject")),
-    "race_entries": ((("sail_slug",), "reject"), (("yacht_slug", "yacht_type"), "reject"), (("yacht_slug",), "reject")),
-}
-
-
 def staged_owners(df: DataFrame) -> DataFrame:
     """Owner export: keys and parts of each row; rows without sku, owner or yacht are rejected, in that order."""
     c = lambda n: text.trimmed(F.col(f"`{n}`"))
@@ -111,59 +90,37 @@ def staged_race_entries(df: DataFrame, kind: str) -> DataFrame:
     plain = kind == "race_entries_plain"
     get = lambda a, b: F.col(f"`{a if plain else b}`") if (a if plain else b) in df.columns else F.lit(None).cast("string")
     owner, yacht, sail, kind_of, club, place = get("ownerName", "flex"), get("yachtName", "title-small 2"), get("sailNumber", "title-small"), get("yachtType", "tablescraper-selected-row 3"), get("ownerAffiliation", "tablescraper-selected-row"), get("ownerLocation", "tablescraper-selected-row 2")
-    d = df.withColumns({"event_id": event_id, "entry_id": entry_id, "xref_key": keys.owner_key(owner, club, place), "name_key": text.person_key(owner), "yacht_slug": text.slug(yacht), "sail_slug": text.slug(sail), "yacht_type": text.trimmed(kind_of)})
+    d = df.withColumns({"event_id": event_id, "entry_id": entry_id, "xref_key": keys.owner_key(owner, club, place), "name_key": text.person_key(owner), "yacht_slug": text.slug(yacht), "sail_slug": text.slug(sail), "yacht_type": text.trimmed(kind_of), "full_name": text.squeezed(owner), "yacht_name": text.squeezed(yacht), "sail_number": text.trimmed(sail), "affiliation": text.trimmed(club)})
     return gates.with_reason(d, [(F.col("event_id").isNull(), "missing_event_id"), (F.col("yacht_slug").isNull() & F.col("sail_slug").isNull(), "missing_yacht")])
 
 
-def resolved_people(batch: DataFrame, feed: str, known: Mapping[str, DataFrame]) -> DataFrame:
-    """Match accepted rows by the feed's cascade; ``known`` has a table (key, participant_id) per key column.
-
-    Adds participant_id, is_new, match_tier; ambiguous rows get a reject reason.
-    """
-    tiers = [match.Tier(k, (k,), known[k], "participant_id", many) for k, many in PEOPLE[feed] if k in known]
-    m = match.with_new_ids(match.tiered_match(batch, tiers), "participant", F.coalesce(*[F.col(k) for k in ("name_key", "email") if k in batch.columns]))
-    reason = F.coalesce(F.col("reject_reason"), F.when(F.col("match_status") == "ambiguous", F.concat(F.lit("ambiguous_"), "match_tier"))) if "reject_reason" in batch.columns else F.when(F.col("match_status") == "ambiguous", F.concat(F.lit("ambiguous_"), "match_tier"))
-    return m.withColumn("reject_reason", reason).withColumnRenamed("entity_id", "participant_id").drop("matched_id", "match_status")
-
-
-def resolved_boats(batch: DataFrame, feed: str, yachts: DataFrame) -> DataFrame:
-    """Match boats by the feed's cascade over ``yachts`` (yacht_id and key columns); unknown ones get an id by name and sail."""
-    tiers = [match.Tier("+".join(k), k, yachts.select(*k, "yacht_id"), "yacht_id", many) for k, many in BOATS[feed]]
-    group = F.concat_ws("|", "yacht_slug", *[c for c in ("sail_slug", "length_feet") if c in batch.columns])
-    m = match.with_new_ids(match.tiered_match(batch, tiers), "yacht", group)
-    return m.withColumnRenamed("entity_id", "yacht_id").withColumnRenamed("is_new", "yacht_is_new").drop("matched_id", "match_status", "match_tier")
-
-
-def contact_rows(people: DataFrame) -> DataFrame:
-    """Contacts of resolved rows, each once per participant and key."""
-    kinds = [F.struct(F.lit("email" if c == "email" else "phone").alias("contact_type"), F.col(c).alias("normalized")) for c in ("email", "phone", "home_phone", "cell_phone") if c in people.columns]
-    rows = people.where(F.col("participant_id").isNotNull()).select("participant_id", F.explode(F.array(*kinds)).alias("c")).select("participant_id", "c.*")
-    return rows.where(F.col("normalized").isNotNull()).dropDuplicates(["participant_id", "contact_type", "normalized"])
-
-
 def staged_base(df: DataFrame, feed: str) -> DataFrame:
     """Rows of a base-copy file: source id, keys and parts by feed, and the first reason to reject."""
     get = lambda n: text.trimmed(F.col(f"`{n}`")) if n in df.columns else F.lit(None).cast("string")
     member = lambda c, k: F.get_json_object(c, f"$.{k}")  # noqa: E731  numbers and texts alike
     if feed == "base_clubs":
-        d, needs = df.withColumns({"source_id": get("club_global_id"), "club_slug": text.slug(get("Name")), "website": get("Website"), "phone": text.phone(get("Phone")), "state_usa": get("stateUSA")}), ("source_id", "club_slug")
+        d, needs = df.withColumns({"source_id": get("club_global_id"), "club_slug": text.slug(get("Name")), "website": get("Website"), "phone": text.phone(get("Phone")), "state_usa": get("stateUSA")}), ("club_slug",)
     elif feed == "base_events":
         ids, ref = get("event_global_id"), urls.race(get("entries_url"))
         race, yr = F.coalesce(member(ids, "race_id"), ref["race_id"]), F.coalesce(dates.tag_year(get("source")), member(ids, "yr").try_cast("int"), ref["yr"])
         d, needs = df.withColumns({"source_id": keys.race_key(race, yr), "series_slug": text.slug(dates.without_year(get("Event Name"))), "season_year": yr, "club_slug": text.slug(get("Host Club")), "source_ok": get("source").rlike(r"_\d{4}$")}), ("series_slug", "season_year")
     elif feed == "base_yachts":
-        d, needs = df.withColumns({"source_id": get("yacht_global_id"), "yacht_slug": text.slug(get("yachtName")), "sail_slug": text.slug(get("sailNumber")), "length_feet": text.decimal(get("yachtLoa"), 6, 2), "yacht_type": get("yachtType")}), ("source_id", "yacht_slug")
+        d, needs = df.withColumns({"source_id": get("yacht_global_id"), "yacht_slug": text.slug(get("yachtName")), "sail_slug": text.slug(get("sailNumber")), "length_feet": text.decimal(get("yachtLoa"), 6, 2), "yacht_type": get("yachtType")}), ("yacht_slug",)
     elif feed in ("base_owners", "base_participants"):
         own = feed == "base_owners"
-        name, mail = get("ownerName" if own else "name"), get("ownerEmail" if own else "competitorE")
-        tel = F.coalesce(text.phone(get("ownerCellPhone")), text.phone(get("ownerHomePhone"))) if own else text.phone(get("numbersOnly"))
+        mail = get("ownerEmail" if own else "competitorE")
+        name = F.coalesce(get("ownerName"), get("skipperName")) if own else F.coalesce(get("name"), mail)
+        home, cell = text.phone(get("ownerHomePhone")), text.phone(get("ownerCellPhone"))
+        tel = F.coalesce(home, cell) if own else text.phone(get("numbersOnly"))
         place = text.joined_address(*[get(x) for x in (("ownerAddressLine1", "ownerAddressLine2", "ownerCity", "ownerState", "ownerPostal") if own else ("address", "postalCode"))])
-        d, needs = df.withColumns({"source_id": get("owner_global_id" if own else "participant_global_id"), "name_key": text.person_key(name), "email": text.email(mail), "phone": tel, "address_raw": place}), ("source_id", "name_key")
+        d, needs = df.withColumns({"source_id": get("owner_global_id" if own else "participant_global_id"), "full_name": F.coalesce(text.squeezed(name), mail), "name_key": text.person_key(name), "email": text.email(mail), "phone": tel, "address_raw": place}), ("full_name",)
+        if own:
+            d = d.withColumns({"home_phone": home, "cell_phone": cell})
     elif feed == "base_entries":
         ids = get("eventUuid")
         sku = F.coalesce(get("entriesSku"), urls.sku(get("Hist")), keys.entry_hash(*[get(x) for x in ("source", "entries_url", "Fleet", "Name", "Yacht Name", "Sail Num")]))
         race = keys.race_key(F.coalesce(member(ids, "race_id"), urls.parameter(get("entries_url"), "race_id")), F.coalesce(member(ids, "yr").try_cast("int"), urls.race(get("entries_url"))["yr"]))
-        d, needs = df.withColumns({"source_id": get("entries_global_id"), "external_id": sku, "event_key": race, "name_key": text.person_key(get("Name")), "yacht_slug": text.slug(get("Yacht Name")), "sail_slug": text.slug(get("Sail Num"))}), ("source_id", "name_key", "yacht_slug")
+        d, needs = df.withColumns({"source_id": get("entries_global_id"), "external_id": sku, "event_key": race, "name_key": text.person_key(get("Name")), "yacht_slug": text.slug(get("Yacht Name")), "sail_slug": text.slug(get("Sail Num"))}), ("yacht_slug",)
     else:
         raise ValueError(feed)
     return gates.with_reason(d, [(F.col(n).isNull(), f"missing_{n}") for n in needs])

@@ -43,6 +43,8 @@ FEEDS = {
         Feed("race_events", "race_scoring", ("title-small href", "w-[20%]"), "title-small href"),
         Feed("race_entries", "race_scoring", ("title-small", "title-small href", "flex"), "title-small href"),
         Feed("race_entries_plain", "race_scoring", ("sailNumber", "entryUrl", "yachtName", "ownerName", "yachtType", "eventUrl"), "entryUrl"),
+        Feed("race_yachts", "race_scoring", ("sailNumber", "yachtName", "yachtType"), None),
+        Feed("unknown", "race_scoring", (), None),
         Feed("manual_decisions", "decisions", ("candidate_entity_type", "candidate_entity_id", "action", "actor"), None),
         Feed("merge_decisions", "decisions", ("canonical_entity_type", "keep_canonical_id", "merge_canonical_id", "reason_code", "actor"), None),
         Feed("demote_decisions", "decisions", ("candidate_entity_type", "candidate_entity_id", "reason_code", "actor"), None),
@@ -66,9 +68,24 @@ def csv(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] |
 
 
 def scan(spark: SparkSession, feed: str, path: str | Sequence[str]) -> DataFrame:
-    """Rows of a feed with ``_source_file`` and ``_ordinal``, the order of reading."""
-    df = require_columns(csv(spark, path), FEEDS[feed].needs)
-    return df.withColumns({"_source_file": F.input_file_name(), "_ordinal": F.monotonically_increasing_id()})
+    """Rows of a feed with ``_source_file`` and ``_ordinal``, the order of files by name and of rows in them."""
+    return numbered(require_columns(csv(spark, path), FEEDS[feed].needs))
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """Add ``_source_file`` and ``_ordinal``, a number that grows with the file's name and the row's place in it.
+
+    A file with line breaks in fields is read by one task, so the lower 33 bits
+    of Spark's own number grow inside it.
+    """
+    names = sorted(df.inputFiles())
+    if not names:
+        return df.withColumns({"_source_file": F.lit(""), "_ordinal": F.monotonically_increasing_id()})
+    files = df.sparkSession.createDataFrame([(f, i) for i, f in enumerate(names)], "_source_file string, _file long")
+    place = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    rows = df.withColumns({"_source_file": F.input_file_name(), "_place": place})
+    ordinal = F.shiftleft(F.coalesce("_file", F.lit(0).cast("long")), 33) + F.col("_place")
+    return rows.join(F.broadcast(files), "_source_file", "left").withColumn("_ordinal", ordinal).select(*df.columns, "_source_file", "_ordinal")
 
 
 def raw(df: DataFrame, feed: str) -> DataFrame:
@@ -76,45 +93,73 @@ def raw(df: DataFrame, feed: str) -> DataFrame:
     f = FEEDS[feed]
     own = [c for c in df.columns if not c.startswith("_")]
     row_id = text.trimmed(F.col(f"`{f.row_id}`")) if f.row_id in df.columns else F.lit(None).cast("string")
+    if not own:
+        df, own = df.withColumn("row", F.lit(None).cast("string")), ["row"]
     rows = df.select(F.lit(f.source).alias("source_system"), F.lit(feed).alias("feed"), F.col("_source_file").alias("source_file"), row_id.alias("source_row_id"), keys.payload(*own).alias("payload"), "_ordinal")
     rows = rows.withColumn("row_hash", F.sha2("payload", 256))
     return rows.dropDuplicates(["source_system", "feed", "source_file", "row_hash"])
 
 
-def audience(spark: SparkSession, subscribed: str, unsubscribed: str, cleaned: str) -> DataFrame:
-    """The three audience files as one, each with its status and the column that dates it."""
-    out = None
-    for feed, path, status, at in (("audience_subscribed", subscribed, "subscribed", "LAST_CHANGED"), ("audience_unsubscribed", unsubscribed, "unsubscribed", "UNSUB_TIME"), ("audience_cleaned", cleaned, "cleaned", "CLEAN_TIME")):
-        part = scan(spark, feed, path).withColumns({"audience_status": F.lit(status), "status_at_raw": F.col(at)})
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+#: The three audience files: feed, status, and the column that dates it.
+AUDIENCE = (("audience_subscribed", "subscribed", "LAST_CHANGED"), ("audience_unsubscribed", "unsubscribed", "UNSUB_TIME"), ("audience_cleaned", "cleaned", "CLEAN_TIME"))
 
 
 def race_file_kind(path: str) -> str:
-    """Kind of a race-scoring file by its place: scraped events, deduplicated, unique or scraped entries."""
+    """Kind of a race-scoring file by its place: scraped events, deduplicated or unique entries, scraped entries."""
     low = path.lower()
     if "scrapedevents" in low:
         return "race_events"
-    if "dedup" in low or "unique" in low:
+    if "unique" in low:
+        return "race_yachts"
+    if "dedup" in low:
         return "race_entries_plain"
     return "race_entries" if "scrapedentries" in low else "unknown"
 
 
+#: Order in which kinds of race-scoring files build on each other; unknown ones are only kept raw.
+RACE_ORDER = ("race_events", "race_entries_plain", "race_yachts", "race_entries", "unknown")
+
+
+def discovered(spark: SparkSession, root: str) -> list[str]:
+    """CSV files below a folder, however deep, in order of path; an empty folder gives none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, each = [], p.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(p, True)
+    while each.hasNext():
+        name = each.next().getPath().toString()
+        if name.lower().endswith(".csv"):
+            found.append(name)
+    return sorted(found)
+
+
 def race_scan(spark: SparkSession, paths: Sequence[str]) -> dict[str, DataFrame]:
-    """Race-scoring files by kind, in order of path; files whose header doesn't fit their kind are ``unknown``, for raw capture only."""
-    out: dict[str, DataFrame] = {}
+    """Race-scoring files by kind, in order of path; files whose header doesn't fit their kind are ``unknown``, for raw capture only.
+
+    Files of equal header are read together.
+    """
+    alike: dict[tuple[str, tuple[str, ...]], list[str]] = {}
     for path in sorted(paths):
-        df, kind = csv(spark, path), race_file_kind(path)
-        if kind != "unknown" and set(FEEDS[kind].needs) - set(df.columns):
+        columns, kind = csv(spark, path).columns, race_file_kind(path)
+        if kind != "unknown" and set(FEEDS[kind].needs) - set(columns):
             kind = "unknown"
-        df = df.withColumn("_source_file", F.lit(path))
-        out[kind] = df if kind not in out else out[kind].unionByName(df, allowMissingColumns=True)
+        alike.setdefault((kind, tuple(columns)), []).append(path)
+    parts: dict[str, list[DataFrame]] = {}
+    for k, ((kind, columns), files) in enumerate(alike.items()):
+        df = numbered(csv(spark, files, columns))
+        parts.setdefault(kind, []).append(df.withColumn("_ordinal", F.col("_ordinal") + (k << 48)))
+    out = {}
+    for kind, dfs in parts.items():
+        one = dfs[0]
+        for df in dfs[1:]:
+            one = one.unionByName(df, allowMissingColumns=True)
+        out[kind] = one
     return out
 
 
 def race_ids(kind: str, row_url: str = "title-small href", entry_url: str = "entryUrl", event_url: str = "eventUrl"):
     """Columns (event_id, entry_id) of a race-scoring row, by the kind of its file."""
     none = F.lit(None).cast("string")
+    if kind == "race_yachts":
+        return none, none
     if kind == "race_events":
         return F.coalesce(urls.number_after(F.col(f"`{row_url}`"), "emenu"), urls.number_after(F.col(f"`{row_url}`"), "current_event_entries")), none
     url = F.col(f"`{entry_url if kind == 'race_entries_plain' else row_url}`")
