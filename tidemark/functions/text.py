@@ -5,13 +5,12 @@ Blank strings become null everywhere, and white space means Unicode white space.
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 
 def let(value: Column, body) -> Column:
@@ -51,42 +50,51 @@ def phone(c: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str, list[tuple[str, str]]]:
-    """Characters with a one-letter base, their bases, and the rest with longer ones, of the basic plane."""
-    single, base, longer = [], [], []
-    for i in range(0x80, 0x10000):
-        if 0xAC00 <= i < 0xD7A4 or 0xD800 <= i < 0xE000:
-            continue
+def _fold_tables() -> tuple[str, str, str, str]:
+    """Characters that become one letter or none, those letters, what other characters become, and a class of the latter.
+
+    Hangul syllables are left out; they follow a rule.
+    """
+    single, base, gone, longer = [], [], [], {}
+    for i in [*range(0x80, 0xAC00), *range(0xD7A4, 0xD800), *range(0xE000, sys.maxunicode + 1)]:
         c = chr(i)
         plain = "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
-        if plain == c or not plain:
+        if plain == c:
             continue
         if len(plain) == 1:
             single.append(c)
             base.append(plain)
-        elif 0xFB00 <= i <= 0xFB06 or i < 0x250:
-            longer.append((c, plain))
-    return "".join(single), "".join(base), longer
+        elif plain:
+            longer[c] = plain
+        else:
+            gone.append(c)
+    table = "\1".join(f"{c}\2{to}" for c, to in longer.items())
+    return "".join(single + gone), "".join(base), table, "".join(longer)
+
+
+def _syllable(x: Column) -> Column:
+    """Letters of a Hangul syllable: 21 vowels by 28 finals, of which the first is none, for each initial."""
+    i = F.ascii(x) - 0xAC00
+    run = lambda first, n: F.lit("".join(map(chr, range(first, first + n))))
+    part = lambda letters, at: F.substring(letters, at, F.lit(1))
+    last = F.when(i % 28 > 0, part(run(0x11A8, 27), (i % 28).cast("int"))).otherwise("")
+    return F.concat(part(run(0x1100, 19), F.floor(i / 588).cast("int") + 1), part(run(0x1161, 21), F.floor(i % 588 / 28).cast("int") + 1), last)
 
 
 def folded(c: Column) -> Column:
-    """Compatibility letters by their bases, without combining marks.
+    """Compatibility letters by their bases, without combining marks, for all of Unicode: NFKD and no marks.
 
-    Native for the basic plane's one-letter bases and for Latin ligatures; text
-    in ASCII passes untouched. :func:`folded_exactly` covers all of Unicode.
+    ASCII passes untouched and letters with a one-letter base are translated;
+    only texts that hold characters of longer forms (ligatures, signs such as
+    the trade mark, Hangul) are taken apart.
     """
-    single, base, longer = _fold_table()
-    out = F.translate(F.regexp_replace(c, r"\p{Mn}", ""), single, base)
-    for a, b in longer:
-        if a in "ĲĳŉǄǅǆǇǈǉǊǋǌﬀﬁﬂﬃﬄﬅﬆ¼½¾":
-            out = F.replace(out, F.lit(a), F.lit(b))
-    return F.when(F.length(c) == F.octet_length(c), c).otherwise(out)
-
-
-@F.pandas_udf(StringType())
-def folded_exactly(s: pd.Series) -> pd.Series:
-    """NFKD without combining marks, Arrow batch by Arrow batch."""
-    return s.map(lambda v: None if v is None else "".join(x for x in unicodedata.normalize("NFKD", v) if not unicodedata.combining(x)))
+    single, base, table, longer = _fold_tables()
+    forms = F.str_to_map(F.lit(table), F.lit("\1"), F.lit("\2"))
+    each = lambda x: F.when(x.between("\uac00", "\ud7a3"), _syllable(x)).otherwise(F.coalesce(F.element_at(forms, x), x))
+    apart = F.array_join(F.transform(F.split(c, ""), each), "")
+    rare = F.translate(c, longer, "") != c
+    some = rare | c.rlike("[\uac00-\ud7a3]")
+    return F.when(F.length(c) == F.octet_length(c), c).otherwise(F.translate(F.when(some, apart).otherwise(c), single, base))
 
 
 def person_key(c: Column) -> Column:
