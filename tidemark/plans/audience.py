@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+import time
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import subscriber_hash
@@ -87,19 +89,31 @@ def audit(rows: DataFrame, run_id: str) -> DataFrame:
     return rows.select(F.lit(run_id).alias("run_id"), "email", "participant_id", "segment_types", "is_suppressed", "suppression_reason", body.alias("payload"))
 
 
-def deliver(rows: DataFrame, client: Callable[[], Callable[[Row], None]], attempts: int = 3) -> None:
-    """Hand each eligible row, with its subscriber hash, to an injected client made once per partition; failures are retried."""
-    live = rows.where(~F.col("is_suppressed")).withColumn("subscriber_hash", subscriber_hash(F.col("email")))
+DELIVERED = "email string, participant_id string, status string, contact_id string, attempts int"
 
-    def send(part: Iterable[Row]) -> None:
+
+def deliver(rows: DataFrame, client: Callable[[], Callable[[str, dict], tuple[int, dict]]], attempts: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+    """Hand each eligible row to an injected client, made once per partition, and return what became of it.
+
+    The client takes the subscriber's hash and the member's data with a tag per
+    segment, and gives a status and an answer. A busy provider (429) is asked
+    again after 1, 2, ... seconds. contact_id is the provider's id, which
+    :func:`tidemark.operators.match.provider_ids` may then record.
+    """
+    live = rows.where(~F.col("is_suppressed")).select(subscriber_hash(F.col("email")).alias("hash"), "email", F.col("participant_id").cast("string"), "segment_types")
+
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         call = client()
-        for row in part:
-            for k in range(attempts):
-                try:
-                    call(row)
-                    break
-                except ConnectionError:
-                    if k == attempts - 1:
-                        raise
-
-    live.foreachPartition(send)
+        for frame in frames:
+            out = []
+            for r in frame.itertuples():
+                status, answer, k = 429, {}, 0
+                while status == 429 and k < attempts:
+                    if k:
+                        sleep(float(2 ** (k - 1)))
+                    k += 1
+                    status, answer = call(r.hash, {"email_address": r.email, "tags": list(r.segment_types)})
+                out.append((r.email, r.participant_id, "delivered" if status < 400 else "rate_limited" if status == 429 else "failed", answer.get("contact_id"), k))
+            yield pd.DataFrame(out, columns=[c.split()[0] for c in DELIVERED.split(", ")])
+
+    return live.mapInPandas(run, DELIVERED)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 from operator import and_
@@ -61,6 +62,86 @@ def null_client() -> Callable[[pd.DataFrame], pd.DataFrame]:
     return ask
 
 
+class LookupClient:
+    """Asks a provider over an injected ``get(path, parameters) -> (status, json)``, no faster than ``per_second``.
+
+    A busy provider (429) is asked again after 2, 4, ... seconds, at most 64 and
+    ``retries`` times; an answer that isn't ready yet is polled for until
+    ``deadline`` seconds have passed.
+    """
+
+    def __init__(self, get: Callable[[str, dict], tuple[int, dict]], per_second: float = 2.0, retries: int = 3, deadline: float = 20.0, every: float = 2.0, sleep: Callable[[float], None] = time.sleep):
+        self.get, self.gap, self.retries, self.deadline, self.every, self.sleep = get, 1 / max(per_second, 0.01), retries, deadline, every, sleep
+
+    def _asked(self, path: str, parameters: dict) -> tuple[str, dict]:
+        """Status (ok, rate_limited, api_error) and the answer."""
+        pause = 2.0
+        for k in range(self.retries + 1):
+            self.sleep(self.gap)
+            try:
+                status, body = self.get(path, parameters)
+            except OSError:
+                return "api_error", {}
+            if status != 429:
+                return ("ok", body) if status < 400 else ("api_error", body)
+            if k < self.retries:
+                self.sleep(min(pause, 64.0))
+                pause *= 2
+        return "rate_limited", {}
+
+    def one(self, mail: str | None) -> tuple[str, dict]:
+        """Row status and body for a candidate's e-mail."""
+        if not mail:
+            return "skipped", {}
+        status, body = self._asked("/lookup", {"email": mail})
+        waited = 0.0
+        while status == "ok" and body.get("status") in ("searching", "progress", "waiting"):
+            if waited >= self.deadline or not body.get("id"):
+                return "api_error", body
+            self.sleep(self.every)
+            waited += self.every
+            status, body = self._asked("/status", {"id": body["id"]})
+        if status != "ok" or body.get("status") in ("failed", "error", "not_found"):
+            return ("api_error" if status == "ok" else status), body
+        n = len(body.get("profiles") or ())
+        return ("no_match" if n == 0 else "matched" if n == 1 else "ambiguous"), body
+
+    def __call__(self, frame: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        for r in frame.itertuples():
+            status, body = self.one(r.best_email)
+            found = body.get("profiles") or []
+            p = found[0] if found else {}
+            plain = lambda xs, k: [x.get(k) if isinstance(x, dict) else x for x in xs or ()]
+            sure = str(p.get("confidence") or "")
+            rows.append((r.id, status, str(body["id"]) if body.get("id") else None, p.get("name"), plain(p.get("emails"), "email"), plain(p.get("phones"), "number"), p.get("linkedin_url"), int(sure) if sure.isdigit() else None, len(found)))
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in ANSWER.split(", ")])
+
+
+def person_links(gated_rows: DataFrame) -> DataFrame:
+    """Links of candidates to the provider's person, where the answer names one."""
+    ok = gated_rows.where(F.col("provider_person_id").isNotNull() & (F.col("verdict") == "applied"))
+    return ok.select(F.col("id").alias("candidate_id"), F.lit("participant").alias("entity_type"), F.lit("lookup").alias("source_table"), F.col("provider_person_id").alias("source_pk"), F.lit(1).cast("decimal(5,4)").alias("link_score")).distinct()
+
+
+def lookup_rows(gated_rows: DataFrame, run_id: str, at: Column) -> DataFrame:
+    """Audit of a run: one row per candidate that was asked about."""
+    mask = F.col("applied_field_mask") if "applied_field_mask" in gated_rows.columns else F.array().cast("array<string>")
+    return gated_rows.select(F.lit(run_id).alias("run_id"), F.col("id").alias("candidate_id"), "row_status", "verdict", "provider_person_id", mask.alias("applied_field_mask"), at.alias("created_at"))
+
+
+def run_row(rows: DataFrame, run_id: str, most_failures: float = 0.10) -> DataFrame:
+    """One row for a run: counts by outcome, its status, and a warning if too many calls failed."""
+    failed = F.count_if(F.col("row_status").isin("api_error", "rate_limited"))
+    n = F.count_if(F.col("row_status") != "skipped")
+    rate = F.coalesce(F.try_divide(failed, n), F.lit(0.0))
+    warning = F.when(rate > most_failures, F.format_string("%d of %d calls failed", failed, n))
+    return rows.agg(
+        F.lit(run_id).alias("run_id"), F.count("*").alias("rows"), F.count_if(F.col("verdict") == "applied").alias("applied"), F.count_if(F.col("verdict") == "no_match").alias("no_match"), failed.alias("failed"),
+        F.when(rate > most_failures, "completed_with_warnings").otherwise("completed").alias("status"), warning.alias("warning"),
+    )
+
+
 def profiles(body: Column) -> Column:
     """Array of (id, name, emails, phones, linkedin_url, confidence) in a provider's JSON; contacts may be texts or objects."""
     each = F.from_json(F.get_json_object(body, "$.profiles"), "array<struct<id:string,name:string,emails:array<string>,phones:array<string>,linkedin_url:string,confidence:string>>")
