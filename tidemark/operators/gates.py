@@ -45,6 +45,19 @@ def rate_gate(df: DataFrame, bad: Column, limit: float, name: str) -> DataFrame:
     return df
 
 
+def warnings(rows: DataFrame, when: Column, said: Column, order: str, limit: int = 50) -> DataFrame:
+    """The first warnings of a run, in order."""
+    return rows.where(when).select(F.col(order).alias("seq"), said.alias("warning")).orderBy("seq").limit(limit)
+
+
+def write_rejects(rows: DataFrame, path: str) -> None:
+    """Rejected rows as CSV: their own columns as text, then the reason; nothing is written without rejects."""
+    own = [c for c in rows.columns if not c.startswith("_") and c != "reject_reason"]
+    out = rows.select(*[F.col(f"`{c}`").cast("string").alias(c) for c in own], F.col("reject_reason").alias("_reject_reason"))
+    if out.limit(1).count():
+        out.coalesce(1).write.option("header", True).option("escape", '"').mode("overwrite").csv(path)
+
+
 def report(run_id: str, mode: str, started: str, ended: str, dry_run: bool, values: dict) -> str:
     """Run report as JSON."""
     return json.dumps({"run_id": run_id, "mode": mode, "started_at": started, "ended_at": ended, "dry_run": dry_run, "counters": values}, sort_keys=True, default=str)

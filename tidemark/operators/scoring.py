@@ -120,3 +120,26 @@ def top_reasons(scored_rows: DataFrame, limit: int = 20) -> DataFrame:
 
 def state_counts(scored_rows: DataFrame) -> DataFrame:
     return scored_rows.groupBy("entity_type", "resolution_state", "is_promoted").agg(F.count("*").alias("n"))
+
+
+def blocked_counts(scored_rows: DataFrame) -> DataFrame:
+    """Candidates by kind and hard block."""
+    per = scored_rows.select("entity_type", "id", F.explode("confidence_reasons").alias("reason")).where(F.col("reason").startswith("hard_block:"))
+    return per.groupBy("entity_type", "reason").agg(F.count_distinct("id").alias("n"))
+
+
+def would_promote(scored_rows: DataFrame, limits: dict[str, float] | None = None) -> DataFrame:
+    """By kind: unpromoted candidates whose score reaches the kind's threshold of auto_promote, and how many of them are in another state."""
+    limits = limits or {k: r.thresholds["auto_promote"] for k, r in SHIPPED.items()}
+    least = F.create_map(*[F.lit(x) for kv in limits.items() for x in kv])[F.col("entity_type")]
+    up = ~F.coalesce("is_promoted", F.lit(False)) & (F.col("quality_score").cast("double") >= least)
+    return scored_rows.groupBy("entity_type").agg(F.count_if(up).alias("n"), F.count_if(up & (F.col("resolution_state") != "auto_promote")).alias("held_back"))
+
+
+def all_kinds(rows: dict[str, DataFrame]) -> DataFrame:
+    """What the candidates of all kinds have in common, as one table."""
+    out = None
+    for kind, df in rows.items():
+        part = df.select(F.lit(kind).alias("entity_type"), "id", "resolution_state", F.coalesce("is_promoted", F.lit(False)).alias("is_promoted"), "quality_score", "confidence_reasons")
+        out = part if out is None else out.unionByName(part)
+    return out
