@@ -115,7 +115,7 @@ class LookupClient:
             plain = lambda xs, k: [x.get(k) if isinstance(x, dict) else x for x in xs or ()]
             sure = str(p.get("confidence") or "")
             rows.append((r.id, status, str(body["id"]) if body.get("id") else None, p.get("name"), plain(p.get("emails"), "email"), plain(p.get("phones"), "number"), p.get("linkedin_url"), int(sure) if sure.isdigit() else None, len(found)))
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in ANSWER.split(", ")])
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in ANSWER.split(", ")]).astype({"confidence": "Int32"})
 
 
 def person_links(gated_rows: DataFrame) -> DataFrame:
