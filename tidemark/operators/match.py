@@ -111,6 +111,8 @@ def in_order(batch: DataFrame, seq: str, lookups: Sequence[Lookup], offers: Sequ
     asks = table(spread(lookups, lambda i, x: F.lit(i)), "match-asks")
     given = table(spread(offers, lambda i, x: F.lit(x.always)).distinct(), "match-offers")
     held = known.select(F.col("space").alias("s"), F.col("key").cast("string").alias("k"), F.col("entity").alias("e"), F.lit(-1).cast("long").alias("f")).where("k is not null")
+    # of what is known only keys that the batch asks for matter
+    held = table(held.join(asks.select("s", "k").distinct(), ["s", "k"], "left_semi").distinct(), "match-known")
     strict = [i for i, x in enumerate(lookups) if x.many == "reject"]
     state = table(rows.select("_q", F.col("_own").alias("e"), F.lit(True).alias("new"), F.lit(None).cast("int").alias("t")), "match-state")
     while True:

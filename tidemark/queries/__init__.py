@@ -31,7 +31,7 @@ def query(sql: str | None = None):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from tidemark.queries import entities, outputs, scalars  # noqa: F401
+    from tidemark.queries import checks, entities, loading, outputs, scalars  # noqa: F401
 
     return dict(QUERIES)
 

@@ -174,15 +174,15 @@ def under_combination_prevention(spark, d):
 
 
 @query("""
-with b as (select o_custkey as k, o_orderkey as seq, case when o_orderkey % 3 = 0 then o_orderstatus end as a, case when o_orderkey % 2 = 0 then o_orderpriority end as b from orders where o_orderdate >= timestamp '1996-01-01'),
-o as (select c_custkey as k, case when c_custkey % 4 = 0 then 'old' end as a, cast(null as varchar) as b from customer where c_custkey % 2 = 0),
+with b as (select o_custkey as k, o_orderkey as seq, case when o_orderkey % 3 = 0 then o_orderstatus end as a, case when o_orderkey % 2 = 0 then o_orderpriority end as b from orders),
+o as (select 2 * c_custkey as k, case when c_custkey % 2 = 0 then 'old' end as a, cast(null as varchar) as b from customer),
 n as (select k, arg_min(a, seq) filter (a is not null) as a, arg_min(b, seq) filter (b is not null) as b from b group by k)
 select coalesce(o.k, n.k) as k, coalesce(o.a, n.a) as a, coalesce(o.b, n.b) as b, o.k is null as inserted from o full join n on o.k = n.k
 """)
 def candidate_upsert_fill_null(spark, d):
-    orders = read(spark, d, "orders").where("o_orderdate >= '1996-01-01'")
+    orders = read(spark, d, "orders")
     batch = orders.select(F.col("o_custkey").alias("k"), F.col("o_orderkey").alias("seq"), F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderstatus")).alias("a"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("b"))
-    old = read(spark, d, "customer").where("c_custkey % 2 = 0").select(F.col("c_custkey").alias("k"), F.when(F.col("c_custkey") % 4 == 0, "old").alias("a"), F.lit(None).cast("string").alias("b"))
+    old = read(spark, d, "customer").select((2 * F.col("c_custkey")).alias("k"), F.when(F.col("c_custkey") % 2 == 0, "old").alias("a"), F.lit(None).cast("string").alias("b"))
     return merge.fill_null_merge(old, batch, ["k"], ["a", "b"], "seq")
 
 

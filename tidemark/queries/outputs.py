@@ -96,8 +96,8 @@ def suppression_map(spark, d):
 
 
 _PEOPLE = "select c_custkey as id, case when c_custkey % 7 <> 0 then 'u' || (c_custkey % 200) || '@x.org' end as best_email, c_name as display_name, (c_custkey % 10) / 10.0 as score, case when c_custkey % 13 <> 0 then date '2020-01-01' + (c_custkey % 900)::int end as updated from customer"
-_REGS = "select o_custkey as pid, o_orderkey % 200 as ev, o_orderkey % 60 as yacht from orders where o_orderkey % 4 = 0"
-_EVENTS = "select p_partkey as id, p_name as event_name, date '2001-06-01' + (p_partkey % 120)::int - 60 as start_date, 1997 + p_partkey % 6 as season from part where p_partkey < 200"
+_REGS = "select o_custkey as pid, l_partkey as ev, l_suppkey as yacht from lineitem join orders on o_orderkey = l_orderkey"
+_EVENTS = "select p_partkey as id, p_name as event_name, date '2001-06-01' + (p_partkey % 120)::int - 60 as start_date, 1997 + p_partkey % 6 as season from part"
 _SEGMENTS = f"""
   people as ({_PEOPLE}), regs as ({_REGS}), ev as ({_EVENTS}), soon as (select * from ev where start_date between date '2001-06-01' and date '2001-06-11'),
   a as (select people.id as participant_id, best_email as email, display_name, score, updated, count(distinct regs.ev) as upcoming, (select count(*) from regs r where r.pid = people.id) as historical, max(s_name) as yacht_name, max(event_name) as last_event
@@ -112,10 +112,10 @@ def _audience_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
         k.alias("id"), F.when(k % 7 != 0, F.concat(F.lit("u"), (k % 200).cast("string"), F.lit("@x.org"))).alias("best_email"), F.lit(None).cast("string").alias("first_name"), F.lit(None).cast("string").alias("last_name"),
         F.col("c_name").alias("display_name"), ((k % 10) / 10.0).alias("canonical_confidence_score"), F.when(k % 13 != 0, F.date_add(F.lit("2020-01-01").cast("date"), (k % 900).cast("int")).cast("timestamp")).alias("updated_at"),
     )
-    o = F.col("o_orderkey")
-    regs = read(spark, d, "orders").where(o % 4 == 0).select(F.col("o_custkey").alias("participant_id"), (o % 200).alias("event_id"), (o % 60).alias("yacht_id"))
+    lines = read(spark, d, "lineitem").join(read(spark, d, "orders"), F.col("o_orderkey") == F.col("l_orderkey"))
+    regs = lines.select(F.col("o_custkey").alias("participant_id"), F.col("l_partkey").alias("event_id"), F.col("l_suppkey").alias("yacht_id"))
     p = F.col("p_partkey")
-    events = read(spark, d, "part").where("p_partkey < 200").select(p.alias("id"), F.col("p_name").alias("event_name"), F.date_add(F.lit("2001-06-01").cast("date"), (p % 120 - 60).cast("int")).alias("start_date"), (1997 + p % 6).alias("season_year"))
+    events = read(spark, d, "part").select(p.alias("id"), F.col("p_name").alias("event_name"), F.date_add(F.lit("2001-06-01").cast("date"), (p % 120 - 60).cast("int")).alias("start_date"), (1997 + p % 6).alias("season_year"))
     yachts = read(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
     return people, regs, events, yachts
 
