@@ -8,6 +8,7 @@ weighed by the bits that a pointer into the sample costs, wins.
 
 from __future__ import annotations
 
+import math
 import sys
 import unicodedata
 from collections import Counter
@@ -34,7 +35,7 @@ class LangIdParams:
     all share six times as many. Texts longer than that are learned from only
     where a language has too few others, the shortest first, and never beyond
     ``longest`` times it. max_symbols: letters that have a symbol of their own;
-    any other letter is spelled as four symbols. block: symbols of a text that
+    any other letter is spelled as several symbols. block: symbols of a text that
     are parsed side by side, which the result doesn't depend on; sync: symbols
     after which a block is first compared with its parse from another state.
     """
@@ -104,14 +105,19 @@ class LanguageModel:
                 found.update(lowered(ord(c)) for c in text if c.isalpha())
         own = sorted(found, key=lambda c: (-found[c], c))[: params.max_symbols]
         # 0: a run of other characters, 1: a spelled letter follows, the last: never in a text
-        self.width = params.max_symbols + 3
+        self.base = max(16, len(own))
+        self.digits = math.ceil(math.log(sys.maxunicode + 1, self.base))
+        self.width = self.base + 3
         symbol = {c: i + 2 for i, c in enumerate(own)}
         table = letters().astype(np.uint8)
         for c in np.flatnonzero(table).tolist():
             if s := symbol.get(lowered(c)):
                 table[c] = s
         self.symbol_of = table
-        tables, roots, bits, base = [], [], [], 0
+        #: Transitions of each automaton as arrays (state, symbol, next state).
+        self.steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.states: list[int] = []
+        bits = []
         for lang in self.langs:
             seq: list[int] = []
             for text in samples[lang]:
@@ -121,10 +127,19 @@ class LanguageModel:
                 if len(seq) >= params.budget(len(self.langs)):
                     break
             trans = suffix_automaton(seq[:-1])
-            t = np.full((len(trans), self.width), -1, np.int64)
-            for i, d in enumerate(trans):
-                for c, to in d.items():
-                    t[i, c] = to
+            size = [len(d) for d in trans]
+            self.steps.append((np.repeat(np.arange(len(trans), dtype=np.int32), size), np.array([c for d in trans for c in d], np.uint8), np.array([to for d in trans for to in d.values()], np.int32)))
+            self.states.append(len(trans))
+            bits.append(np.log2(max(2, len(seq))))
+        self.bits = np.array(bits)
+        self._unfold()
+
+    def _unfold(self) -> None:
+        """Parsing table of all automata, one after another: next state, and whether a phrase begins."""
+        tables, roots, base = [], [], 0
+        for n, (at, c, to) in zip(self.states, self.steps, strict=True):
+            t = np.full((n, self.width), -1, np.int64)
+            t[at, c] = to
             root = np.where(t[0] < 0, 0, t[0])
             # nothing stays in the start, so its row can stand for "no phrase is open": any symbol opens one
             missing = t < 0
@@ -132,10 +147,17 @@ class LanguageModel:
             t = (np.where(missing, root, t) * self.width + base) * 2 + missing
             tables.append(t.astype(np.int32).ravel())
             roots.append(base)
-            base += len(trans) * self.width
-            bits.append(np.log2(max(2, len(seq))))
+            base += n * self.width
         self.table = np.concatenate(tables) if tables else np.zeros(0, np.int32)
-        self.roots, self.bits = np.array(roots, np.int64), np.array(bits)
+        self.roots = np.array(roots, np.int64)
+
+    def __getstate__(self) -> dict:
+        """What is sent to workers: the transitions, of which there are one or two a state, without the table."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("table", "roots")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__ |= state
+        self._unfold()
 
     def _stream(self, points: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Symbols of each text, runs of other characters as one, and their offsets."""
@@ -145,7 +167,7 @@ class LanguageModel:
         keep[offsets[:-1][np.diff(offsets) > 0]] = True
         size = keep.astype(np.int64)
         spelled = np.flatnonzero(sym == 1)
-        size[spelled] = 4
+        size[spelled] = 1 + self.digits
         at = np.zeros(len(sym) + 1, np.int64)
         np.cumsum(size, out=at[1:])
         if not len(spelled):
@@ -154,9 +176,8 @@ class LanguageModel:
         out[at[:-1][keep]] = sym[keep]
         kinds, which = np.unique(points[spelled], return_inverse=True)
         code = np.array([lowered(c) for c in kinds.tolist()])[which]
-        base = self.params.max_symbols
-        for k in range(3):
-            out[at[:-1][spelled] + k + 1] = code // base ** (2 - k) % base + 2
+        for k in range(self.digits):
+            out[at[:-1][spelled] + k + 1] = code // self.base ** (self.digits - 1 - k) % self.base + 2
         return out, at[offsets]
 
     def _advance(self, state: np.ndarray, sym: np.ndarray, start: np.ndarray, length: np.ndarray, a: int, z: int) -> np.ndarray:
@@ -247,7 +268,7 @@ class LanguageModel:
             score[a:b] = np.where(some, np.clip(1 - least / np.maximum(second, 1e-9), 0, 1), 0)
             size = np.diff(to)
             bits[a:b] = np.where(some, least / np.maximum(size, 1), 0)
-            fits[a:b] = some & (least <= size * np.log2(self.width) + 2 * self.bits.max())
+            fits[a:b] = some & (least <= size * np.log2(self.params.max_symbols + 3) + 2 * self.bits.max())
         names = pa.array([*self.langs, "und"], pa.string())
         return names.take(pa.array(name)), pa.array(score), pa.array(bits), pa.array(fits)
 
@@ -286,7 +307,7 @@ def identify(docs: DataFrame, model: LanguageModel, drop: tuple[str, ...] = ())
     1 - best / second best cost, so 0 means a tie, which the name first in
     order wins; bits is the best cost by symbol. A text is explained if that
     cost is at most that of two phrases and of all its symbols spelled one by
-    one: random letters are not. Repeated rows give repeated results. Existing
+    one in an alphabet of ``max_symbols``: random letters are not. Repeated rows give repeated results. Existing
     columns of these four names are replaced.
     """
     at = docs.columns.index("text")
