@@ -57,11 +57,7 @@ BOAT_KEYS = (Offer("xref", "xref_key", True), Offer("sail", "by_sail"), Offer("l
 
 @dataclass
 class Tables:
-    """Tables by name, empty where there is none yet; ``put`` replaces one.
-
-    New versions are plans over what resolution has written; they are written
-    once, by whoever keeps them.
-    """
+    """Tables by name, empty where there is none yet; ``put`` replaces one by a version that is written and read back."""
 
     spark: SparkSession
     held: dict[str, DataFrame] = field(default_factory=dict)
@@ -71,7 +67,7 @@ class Tables:
         return self.held[name] if name in self.held else self.spark.createDataFrame([], SCHEMAS[name])
 
     def put(self, name: str, df: DataFrame) -> None:
-        self.held[name] = df.select(*[c.split()[0] for c in SCHEMAS[name].split(", ")])
+        self.held[name] = table(df.select(*[c.split()[0] for c in SCHEMAS[name].split(", ")]), name)
         self.changed.add(name)
 
     def add(self, name: str, new: DataFrame, on: list[str], seq: str | None = None) -> None:
